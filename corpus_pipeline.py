@@ -1,5 +1,58 @@
-"""The corpus pipeline (placeholder stages follow)."""
-STAGES = []
+"""The corpus pipeline: five stages from raw documents to token ids, each over all that the one before kept."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import bpe, decontaminate, linededup, minhash, toxicity
+from tessera.llm._spark import cut
+from tessera.llm.queries import CATEGORIES
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """docs, with n_chars as the texts are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the chain rejects."""
+    return toxicity.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), CATEGORIES, "toxic")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the lines that match an earlier one; a document of such lines alone goes."""
+    return _measured(linededup.rewrite(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies (shingles of five words, 0.8 or more)."""
+    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the spans that occur in benchmark items; a document of which they're more than half goes."""
+    return _measured(decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, and the text decoded from them."""
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("toxicity", drop_toxic), ("line dedup", drop_lines), ("near-dedup", drop_near_copies), ("decontamination", drop_benchmark), ("encoding", encode)]
+
+#: The models of the first stage can't be put in SQL.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another over sf_dir's documents; what a stage keeps is held in shared storage for the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = cut(docs)
+    return docs

@@ -6,18 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, minhash, tokenfile
+from tessera.llm import bpe, chunkdedup, decontaminate, hilbert, linededup, minhash, pii, quality, tokenfile, toxicity
+
+#: The label table annotates two categories; the chain predicts them in this order.
+CATEGORIES = {"degraded": "quality = 0", "toxic": "toxic = 1"}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(_table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.neighbours(_table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, num=80, den=100)
 
@@ -32,6 +43,22 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.summary(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_minhash, op5_bpe, op6_token_files)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), CATEGORIES, "toxic")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunkdedup.dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_hilbert, op4_minhash, op5_bpe, op6_token_files, op7_toxicity, op8_pii, op9_quality, op10_substring_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
