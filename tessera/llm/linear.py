@@ -11,14 +11,21 @@ from tessera.llm import _text as tx
 
 U = np.uint64
 BITS = 18
+STEM = 5
 CELLS = 1 << BITS
 
 
 def cells(buf: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashed words (runs of digits, letters and non-ASCII characters) of each row, and each row's first (one more at the end); only the wanted ones, if given."""
+    """The distinct cells of each row, and each row's first (one more at the end); only the wanted ones, if given.
+
+    A word (a run of digits, letters and non-ASCII characters) has a cell, and so have the first STEM bytes of a longer one.
+    """
     starts, ends, first = tx.spans(buf, offs, tx.ALNUM)
-    cell = (tx.hashes(buf, starts, ends, tx.FOLDED) >> U(64 - BITS)).astype(np.int64)
     row = np.repeat(np.arange(len(offs) - 1), np.diff(first))
+    long = np.flatnonzero(ends - starts > STEM)
+    stems = tx.mix(tx.hashes(buf, starts[long], starts[long] + STEM, tx.FOLDED) + U(9))
+    cell = (np.concatenate((tx.hashes(buf, starts, ends, tx.FOLDED), stems)) >> U(64 - BITS)).astype(np.int64)
+    row = np.concatenate((row, row[long]))
     if wanted is not None:
         at = np.flatnonzero(wanted[cell])
         cell, row = cell[at], row[at]
@@ -119,7 +126,7 @@ def fit(x: Sparse, dense: np.ndarray, y: np.ndarray, n: int, ridge: float = 1.0,
         s, t = new - w, g2 - g
         if s @ t > 1e-12:
             past = [*past[-9:], (s, t, 1 / (s @ t))]
-        done = abs(value - v2) <= 1e-7 * max(1.0, abs(value))
+        done = abs(value - v2) <= 1e-10 * max(1.0, abs(value))
         w, value, g = new, v2, g2
         if done:
             break

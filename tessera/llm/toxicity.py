@@ -2,7 +2,8 @@
 
 The models are fitted on a bounded sample of labelled rows (SAMPLE); while fitting, what a later model sees of an
 earlier category are out-of-fold predictions, so it learns from honest probabilities. Words are hashed to 2**18 cells,
-of which a model keeps the telling ones; the broadcast weights have that fixed size.
+of which a model keeps the telling ones; the broadcast weights have that fixed size. Unless one is given, the threshold
+of the rejecting category is the one with the best F1 on its out-of-fold probabilities.
 """
 
 from __future__ import annotations
@@ -15,15 +16,24 @@ from pyspark.sql import functions as F
 from tessera.llm import _text as tx
 from tessera.llm import linear
 
-#: Labelled rows to fit on, folds, and cells a model keeps.
-SAMPLE, FOLDS, MOST_CELLS = 10_000, 5, 2048
+#: Labelled rows to fit on, folds, cells a model keeps, and its ridge.
+SAMPLE, FOLDS, MOST_CELLS, RIDGE = 10_000, 5, 2048, 0.1
+
+
+def best_cut(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability from which on rejecting has the best F1: midway to the next lower one, between 0.05 and 0.95."""
+    by = np.argsort(-p, kind="stable")
+    hits = np.cumsum(y[by])
+    last = np.append(p[by][1:] != p[by][:-1], True)
+    k = int(np.argmax(np.where(last, 2 * hits / (np.arange(1, len(p) + 1) + y.sum()), -1)))
+    return float(np.clip((p[by][k] + (p[by][k + 1] if k + 1 < len(p) else 0)) / 2, 0.05, 0.95))
 
 
 class Chain:
     """One model a category: cells, their weights, the weights of the earlier probabilities, and a bias."""
 
     def __init__(self, names: list[str]):
-        self.names, self.models = names, []
+        self.names, self.models, self.cuts = names, [], []
 
     def fit(self, lists: list[np.ndarray], labels: np.ndarray, folds: int = FOLDS) -> np.ndarray:
         """Fits on rows of cells and a 0/1 matrix of labels; the out-of-fold probabilities."""
@@ -36,6 +46,7 @@ class Chain:
                 rate = float(y.mean()) if n else 0.0
                 self.models.append((np.zeros(0, np.int64), np.zeros(0), np.zeros(k), 40.0 if rate else -40.0))
                 before = np.column_stack((before, np.full(n, rate)))
+                self.cuts.append(0.5)
                 continue
             oof = np.zeros(n)
             for f in range(folds):
@@ -43,6 +54,7 @@ class Chain:
                 model = self._one(x.take(rest), before[rest], y[rest])
                 oof[out] = self._p(model, x.take(out), before[out])
             self.models.append(self._one(x, before, y))
+            self.cuts.append(best_cut(oof, y))
             before = np.column_stack((before, oof))
         return before
 
@@ -52,7 +64,7 @@ class Chain:
         place = np.full(linear.CELLS, -1)
         place[keep] = np.arange(len(keep))
         own = [place[c][place[c] >= 0] for c in (x.cols[x.at[i] : x.at[i + 1]] for i in range(len(y)))]
-        w, d = linear.fit(linear.Sparse(own), before, y, len(keep))
+        w, d = linear.fit(linear.Sparse(own), before, y, len(keep), ridge=RIDGE)
         return keep, w, d[:-1], float(d[-1])
 
     @staticmethod
@@ -115,7 +127,11 @@ def _scored(docs: DataFrame, chain: Chain, text_col: str) -> DataFrame:
     return docs.mapInArrow(_score(shared, docs.columns.index(text_col)), fields)
 
 
-def score(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
+def _cut(chain: Chain, reject: str, threshold: float | None) -> float:
+    return chain.cuts[chain.names.index(reject)] if threshold is None else threshold
+
+
+def score(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
     """One row for each row of docs: doc_id, p_<category> for each, and rejected (the probability of `reject` is threshold or more).
 
     A null or empty text has no words, so its probabilities are those of a text without telling words; null and
@@ -124,10 +140,10 @@ def score(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject
     """
     chain, _, _ = train(docs, labels, categories, id_col, text_col, label_id, sample)
     out = _scored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), chain, "text")
-    return out.select("doc_id", *(F.col(f"_p{k}").alias(f"p_{c}") for k, c in enumerate(chain.names)), (F.col(f"_p{chain.names.index(reject)}") >= threshold).alias("rejected"))
+    return out.select("doc_id", *(F.col(f"_p{k}").alias(f"p_{c}") for k, c in enumerate(chain.names)), (F.col(f"_p{chain.names.index(reject)}") >= _cut(chain, reject, threshold)).alias("rejected"))
 
 
-def keep(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float | None = None, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """docs, with all columns, without the documents that score() rejects."""
     chain, _, _ = train(docs, labels, categories, id_col, text_col, "doc_id", sample)
-    return _scored(docs, chain, text_col).filter(F.col(f"_p{chain.names.index(reject)}") < threshold).select(*docs.columns)
+    return _scored(docs, chain, text_col).filter(F.col(f"_p{chain.names.index(reject)}") < _cut(chain, reject, threshold)).select(*docs.columns)

@@ -9,8 +9,8 @@ from tessera.llm.queries import CATEGORIES
 DIR = "/root/testdata/sf0.01"
 
 
-def _tables(spark):
-    return spark.read.parquet(f"{DIR}/documents.parquet"), spark.read.parquet(f"{DIR}/labels.parquet")
+def _tables(spark, at=DIR):
+    return spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
 
 
 def test_logistic_regression_finds_the_optimum():
@@ -24,7 +24,7 @@ def test_logistic_regression_finds_the_optimum():
 
 
 def test_toxicity_on_held_out_documents(spark):
-    docs, labels = _tables(spark)
+    docs, labels = _tables(spark, "/root/testdata/sf0.1")  # a few dozen labels don't show most of the words
     train = labels.filter("doc_id % 2 = 0")
     got = toxicity.score(docs, train, CATEGORIES, "toxic").join(labels.filter("doc_id % 2 = 1"), "doc_id").select("rejected", "toxic").collect()
     assert sum(r.rejected == (r.toxic == 1) for r in got) / len(got) > 0.95
@@ -80,9 +80,9 @@ def test_base_spans():
 
 
 def test_pii_finds_unseen_identifiers(spark):
-    rows = [(i, f"text {i} mail to u{i}@mail{i}.org please") for i in range(30)] + [(i, f"text {i} mail to u{i}@local please") for i in range(30, 36)] + [(90, None), (91, ""), (None, "x 9 y"), (92, "other 5@home here")]
+    rows = [(i, f"text {i} mail to u{i}@mail{i}.org please") for i in range(80)] + [(i, f"text {i} mail to u{i}@local please") for i in range(80, 86)] + [(190, None), (191, ""), (None, "x 9 y"), (192, "other 5@home here")]
     got = {r.doc_id: r for r in pii.find(spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, kind string")).collect()}
-    assert got[3].n_email == 1 and got[3].spans == f"email:15:{len('text 3 mail to u3@mail3.org') }".replace("15", "15")
-    assert got[33].n_email == 0 and got[33].spans.startswith("email:16:") and got[92].spans == ""
-    assert got[90].spans == "" and got[91].n_ip == 0 and len(got) == 40
+    assert got[3].n_email == 1 and got[3].spans == f"email:15:{len('text 3 mail to u3@mail3.org')}"
+    assert got[83].n_email == 0 and got[83].spans.startswith("email:16:") and got[192].spans == ""
+    assert got[190].spans == "" and got[191].n_ip == 0 and len(got) == 90
     assert pii.find(spark.createDataFrame([], "doc_id long, text string")).count() == 0
