@@ -35,12 +35,11 @@ def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
         firm[2:] &= ~((buf[:-2] >= 0xE1) & (buf[:-2] <= 0xE3) & ((buf[1:-1] == 0x9A) | (buf[1:-1] == 0x80) | (buf[1:-1] == 0x81)))
     begin = np.zeros(n + 1, bool)
     begin[1:-1] = space[1:] & firm[:-1]
-    safe = begin.copy()
     begin[offs[:-1]] = True
     begin[n] = False
     starts = np.flatnonzero(begin)
     ends = np.append(starts[1:], n)
-    return starts, ends, np.searchsorted(starts, offs), space[starts] & firm[ends - 1] & (safe[starts] | space[starts])
+    return starts, ends, np.searchsorted(starts, offs), space[starts] & firm[ends - 1]
 
 
 class Encoder:
@@ -135,7 +134,7 @@ def tokenizer_encoder(path: str) -> Encoder:
         widths = np.zeros(tok.get_vocab_size(), np.int64)
         for w, i in tok.get_vocab().items():
             widths[i] = len(w)  # one character of a byte-level vocabulary stands for one byte
-        _loaded[key] = Encoder(lambda text: tok.encode(text, add_special_tokens=False).ids, widths)
+        _loaded[key] = Encoder(lambda text: tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, widths)
     return _loaded[key]
 
 
@@ -169,7 +168,10 @@ def _round(path: str, pattern: str, digest: bool):
                     cols.append(pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(width[:-1], width[1:], strict=True)]))
                 else:
                     cols.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)))
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digest else ("ids",))])
+                    width = np.concatenate(([0], np.cumsum(encoder.widths[ids])))[ends]
+                    raw = raw.tobytes()
+                    cols.append(tx.strings([raw[a:b] for a, b in zip(width[:-1].tolist(), width[1:].tolist(), strict=True)]))
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded"))])
 
     return run
 
@@ -180,13 +182,13 @@ def _select(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_tokens, ids (array of int), without special tokens.
+    """One row for each row of docs: doc_id, n_tokens, ids (array of int), without special tokens, and decoded (the text that the ids' bytes make).
 
     A null text is an empty one, with no ids; ids of rows may be null or repeat; other columns are ignored. Every
     slice is decoded again and must give back its bytes.
     """
     docs, kind = _select(docs, id_col, text_col)
-    return docs.mapInArrow(_round(path, pattern, False), f"doc_id {kind}, n_tokens long, ids array<int>")
+    return docs.mapInArrow(_round(path, pattern, False), f"doc_id {kind}, n_tokens long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
