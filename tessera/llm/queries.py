@@ -17,7 +17,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(_table(spark, sf_dir, "documents"))
+    out = linededup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,4 +62,46 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_hilbert, op4_minhash, op5_bpe, op6_token_files, op7_toxicity, op8_pii, op9_quality, op10_substring_dedup)}
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPLIT = "list_filter(regexp_split_to_array(" + _LOWER + ", '{}'), lambda x: x <> '')"
+
+
+def _solid(x: str) -> str:
+    return _SPLIT.format(x, r"[\x20\x09-\x0D]+")
+
+
+def _alnum(x: str) -> str:
+    return _SPLIT.format(x, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+_LINES = f"""WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+lines AS (SELECT * FROM (SELECT doc_id, line, list_sort(list_distinct({_solid("s")})) AS ws FROM l) WHERE len(ws) > 0),
+sets AS (SELECT ws, len(ws) AS n, min({{'d': doc_id, 'l': line}}) AS place, row_number() OVER () AS sid FROM lines GROUP BY ws),
+words AS (SELECT sid, n, unnest(ws) AS w FROM sets),
+freq AS (SELECT w, count(*) AS f FROM words GROUP BY w),
+prefix AS (SELECT sid, n, w FROM (SELECT sid, n, w, row_number() OVER (PARTITION BY sid ORDER BY f, w) AS p FROM words JOIN freq USING (w)) WHERE p <= n - (80 * n + 99) // 100 + 1),
+pairs AS (SELECT DISTINCT a.sid AS x, b.sid AS y FROM prefix a JOIN prefix b USING (w) WHERE a.sid <> b.sid AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+links AS (SELECT DISTINCT x AS sid FROM pairs JOIN sets a ON x = a.sid JOIN sets b ON y = b.sid WHERE b.place < a.place AND 180 * len(list_intersect(a.ws, b.ws)) >= 80 * (a.n + b.n)),
+gone AS (SELECT doc_id, line, place.d AS first_doc, links.sid IS NOT NULL AS near FROM lines JOIN sets USING (ws) LEFT JOIN links USING (sid) WHERE links.sid IS NOT NULL OR place <> {{'d': doc_id, 'l': line}}),
+kept AS (SELECT l.doc_id, string_agg(s, chr(10) ORDER BY l.line) FILTER (WHERE g.doc_id IS NULL) AS text, count(*) AS n_lines, count(g.doc_id) AS n_removed, string_agg(l.line, ',' ORDER BY l.line) FILTER (WHERE g.doc_id IS NOT NULL) AS removed, count(*) FILTER (WHERE near) AS n_links, min(first_doc) AS class_id FROM l LEFT JOIN gone g USING (doc_id, line) GROUP BY l.doc_id)
+SELECT doc_id, coalesce(text, '') AS text, n_lines, n_removed, coalesce(removed, '') AS removed, n_links, coalesce(class_id, doc_id) AS class_id FROM kept"""
+
+_LEAKS = f"""WITH d AS (SELECT doc_id, {_alnum("coalesce(text, '')")} AS w FROM documents),
+i AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_alnum("coalesce(text, '')")} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[j : j + n - 1], ' ') AS k FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS j FROM i)),
+grams AS (SELECT doc_id, n, j, array_to_string(w[j : j + n - 1], ' ') AS k FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS j FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT doc_id, j, n, item_id FROM grams JOIN windows USING (n, k)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + n)) AS p FROM found) GROUP BY doc_id),
+own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
+_NEAR = f"""WITH RECURSIVE d AS (SELECT doc_id, {_solid("coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda j: hash(array_to_string(w[j : j + 3], ' '))) WHEN len(w) > 0 THEN [hash(array_to_string(w, ' '))] ELSE [] END) AS g FROM d),
+e AS (SELECT doc_id, unnest(g) AS k FROM s),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM e a JOIN e b USING (k) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN s a ON x = a.doc_id JOIN s b ON y = b.doc_id WHERE 100 * n >= 80 * (len(a.g) + len(b.g) - n)),
+reach AS (SELECT doc_id, doc_id AS r FROM s UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.r = links.x)
+SELECT doc_id, CAST(len(any_value(g)) AS BIGINT) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM s JOIN reach USING (doc_id) GROUP BY doc_id"""
+
+#: Encoding, curves, models and rolling hashes can't be put in SQL; those queries are tested against brute force.
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": _LINES, "op2_decontaminate": _LEAKS, "op4_minhash": _NEAR}
