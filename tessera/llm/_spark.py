@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
     sc = spark.sparkContext
@@ -20,13 +23,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in shared storage, so that a lost executor loses none of it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df, computed once and kept in shared storage, so that a lost executor loses none of it; the shuffle files it took are removed at once."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # the setting holds for frames made under it
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
-def _state(df: DataFrame) -> tuple:
-    return tuple(df.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(hi, lo))")).first())
+def _stars(e: DataFrame) -> bool:
+    """Whether every node hangs from one other, and those hang from none."""
+    if e.groupBy("hi").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        tops = e.select(F.col("lo").alias("top")).distinct()
+        return tops.join(e, F.col("top") == F.col("hi"), "left_semi").isEmpty()
+    return False
 
 
 def _large(e: DataFrame) -> DataFrame:
@@ -48,11 +61,7 @@ def components(edges: DataFrame) -> DataFrame:
     neighbourhood, and ends in shared storage. The rounds grow with the logarithm of the longest chain.
     """
     e = cut(edges.select(F.greatest("hi", "lo").alias("hi"), F.least("hi", "lo").alias("lo")).filter("hi <> lo").distinct())
-    state = _state(e)
-    while state[0]:
+    while not _stars(e):
         e = cut(_small(_large(e)))
-        before, state = state, _state(e)
-        if state == before:
-            break
     own = e.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     return own.unionByName(e.select("lo").distinct().select(F.col("lo").alias("node"), F.col("lo").alias("component")))
