@@ -130,6 +130,26 @@ def test_line_dedup_edges(spark):
     assert got == [("1", "a b c"), ("1", "a b c"), ("2", "x"), ("None", "a b c")]
 
 
+def test_line_links_match_brute_force(spark):
+    rng = np.random.default_rng(8)
+    hub = [f"w{i}" for i in range(12)]
+    rows = [(9, " ".join(hub)), (3, " ".join([*hub, "x", "y"]) + "\n\n" + " ".join([*hub, "x", "y", "z", "q"])), (5, None), (6, "alone")]
+    for i in range(20, 50):  # variants of one line: each has links besides that with the earliest
+        rows.append((i, " ".join(w for j, w in enumerate(hub) if j != rng.integers(0, 12)) + f" v{i % 4}\n" + " ".join(hub[:11])))
+    lines = _lines(rows)
+    first = {}
+    for i, n, s in lines:
+        first.setdefault(s, (i, n))
+    links = [(first[s], first[o]) for s in first for o in first if first[o] < first[s] and 100 * len(s & o) >= 80 * len(s | o)]
+    degree = Counter(x for pair in links for x in pair)
+    want = _components(first.values(), links)
+    docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows + rows[:1]], DOCS)
+    got = {(r.doc_id, r.line): (r.n_links, r.class_doc, r.class_line) for r in linededup.line_links(docs).collect()}
+    assert got == {(i, n): (degree[first[s]], *want[first[s]]) for i, n, s in lines}
+    assert max(degree.values()) > 3 and got[3, 2][1:] == (3, 0)
+    assert linededup.line_links(docs.filter("false")).count() == 0
+
+
 def test_chunks_come_back_into_step():
     rng = np.random.default_rng(1)
     words = [f"v{i}" for i in rng.integers(0, 5000, 400)]
