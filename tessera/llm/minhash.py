@@ -4,9 +4,9 @@ Links are confirmed on whole shingle sets with integer arithmetic (den * interse
 candidate never links two documents. In each bucket the member that shares most buckets with others, which in a group
 of near copies is the one most like the rest, is the centre of a star of candidate edges. A centre has been held
 against its whole bucket and leaves it; while a bucket has members in different components, it gets a new star, ROUNDS
-times. What then lies apart in one bucket is compared in pairs, after a look at the sketches of the signatures. A true
-link at 0.8 is missed only if the pair shares no band (below 1e-8 with the defaults), or in that last step fewer than
-MIN_BANDS bands or more than MOST_FLIPS sketch bits (below 1e-6).
+times. What then lies apart in one bucket is compared in pairs, first by bounds that no link exceeds: the sizes, and the
+parities of the sets over PARITY classes of hashes, which differ in no more classes than the sets differ in shingles. A
+true link is therefore missed only if the pair shares no band: at 0.8 with odds of 1.6e-9 if bins were independent.
 """
 
 from __future__ import annotations
@@ -22,14 +22,13 @@ from tessera.llm._spark import components, cut
 U = np.uint64
 BINS, ROWS = 256, 5
 BANDS = BINS // ROWS
-#: Bits of a sketch for each bin, and the most that may differ: at 0.8 a pair differs in 102 of 1,024, with a deviation of 15.
-SKETCH = 4
-MIN_BANDS, MOST_FLIPS = 3, 180
-WORDS = BINS * SKETCH // 64
+#: Classes of shingle hashes whose parities a set's map holds.
+PARITY = 1024
+WORDS = PARITY // 64
 ROUNDS = 3
 
 
-_SKETCH = [f"f{j}" for j in range(WORDS)]
+_MAP = [f"f{j}" for j in range(WORDS)]
 
 
 def _probes(bins: int, tries: int) -> np.ndarray:
@@ -62,6 +61,14 @@ def signatures(u: np.ndarray, first: np.ndarray) -> np.ndarray:
     return flat.reshape(n, BINS)
 
 
+def parities(u: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each row of sorted hashes, which of PARITY classes hold an odd number of them, as bits of WORDS words."""
+    n = len(first) - 1
+    key = np.repeat(np.arange(n), np.diff(first)) * PARITY + (tx.mix(u) & U(PARITY - 1)).astype(np.int64)
+    odd = np.bincount(key, minlength=n * PARITY) & 1
+    return np.packbits(odd.astype(bool).reshape(n, PARITY), axis=1).view(np.int64)
+
+
 def _sign(k: int):
     def run(batches):
         for batch in batches:
@@ -80,9 +87,8 @@ def _sign(k: int):
                     if len(keep):
                         s[keep] = np.add.reduceat(tx.mix(u + salt), at[keep])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(n > 0, BANDS, 0)))).astype(np.int32)), pa.array(bands[keep].reshape(-1).view(np.int64)))
-                bits = tx.mix(sig)[:, :, None] >> np.arange(SKETCH, dtype=U) & U(1)
-                flags = np.packbits(bits.astype(bool).reshape(hi - lo, -1), axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), *(pa.array(x.view(np.int64)) for x in sums), lists, *(pa.array(np.ascontiguousarray(flags[:, j])) for j in range(WORDS))], ["doc_id", "n_shingles", "set_a", "set_b", "bands", *_SKETCH])
+                flags = parities(u, at)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), *(pa.array(x.view(np.int64)) for x in sums), lists, *(pa.array(np.ascontiguousarray(flags[:, j])) for j in range(WORDS))], ["doc_id", "n_shingles", "set_a", "set_b", "bands", *_MAP])
 
     return run
 
@@ -126,6 +132,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) ->
     return both.select("hi", "lo", "lo_text", "hi_text").mapInArrow(_confirm(k, num, den), "hi long, lo long")
 
 
+def _candidates(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (hi, lo) that share a bucket, lie in different parts and may be links, from rows (bucket, rep, part, n_shingles and the map of parities)."""
+    x, y = (rows.select("bucket", F.col("rep").alias(r), F.col("part").alias(f"{r}_part"), *(F.col(f).alias(f"{r}_{f}") for f in ("n_shingles", *_MAP))) for r in ("hi", "lo"))
+    flips = " + ".join(f"bit_count(hi_{f} ^ lo_{f})" for f in _MAP)
+    # Sets a and b with Jaccard num/den or more differ in (den - num) / (den + num) of a + b shingles at most.
+    near = f"{den} * least(hi_n_shingles, lo_n_shingles) >= {num} * greatest(hi_n_shingles, lo_n_shingles) and {num + den} * ({flips}) <= {den - num} * (hi_n_shingles + lo_n_shingles)"
+    return x.join(y, "bucket").filter(f"hi > lo and hi_part <> lo_part and {near}").select("hi", "lo").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -136,10 +151,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     against the smallest of the texts. An empty table gives an empty result; other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sig = cut(docs.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, " + ", ".join(f"{c} long" for c in _SKETCH)))
+    sig = cut(docs.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, " + ", ".join(f"{c} long" for c in _MAP)))
     own = sig.filter("n_shingles > 0 and doc_id is not null")
     # Equal sets are one node from here on: a group of copies costs one row, whatever its size.
-    first = [F.first(c).alias(c) for c in ("bands", *_SKETCH)]
+    first = [F.first(c).alias(c) for c in ("n_shingles", "bands", *_MAP)]
     reps = cut(own.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), *first))
     bands = reps.select("rep", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
@@ -163,12 +178,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comp = own.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).filter("false")
     else:
         mixed = members.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("bucket")
-        sketch = reps.select("rep", *_SKETCH)
-        open_ = cut(members.join(mixed, "bucket").select("bucket", "rep", "part").join(sketch, "rep"))
-        x, y = (open_.select("bucket", F.col("rep").alias(r), F.col("part").alias(f"{r}_part"), *(F.col(f).alias(f"{r}_{f}") for f in _SKETCH)) for r in ("hi", "lo"))
-        flips = " + ".join(f"bit_count(hi_{f} ^ lo_{f})" for f in _SKETCH)
-        more = x.join(y, "bucket").filter(f"hi > lo and hi_part <> lo_part and {flips} <= {MOST_FLIPS}").groupBy("hi", "lo").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_BANDS)
-        more = cut(more.select("hi", "lo").join(tried, ["hi", "lo"], "left_anti"))
+        maps = reps.select("rep", "n_shingles", *_MAP)
+        open_ = cut(members.join(mixed, "bucket").select("bucket", "rep", "part").join(maps, "rep"))
+        more = _candidates(open_, num, den)
+        more = cut(more.join(tried, ["hi", "lo"], "left_anti"))
         if not more.isEmpty():
             comp = cut(components(links.unionByName(cut(_confirmed(more, docs, shingle, num, den)))))
     named = reps.select("set_a", "set_b", "rep").join(comp, F.col("rep") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))

@@ -64,6 +64,19 @@ def test_near_duplicates_match_brute_force(spark, k):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(s), want[i], want[i] == i) for i, s in sets.items()}
 
 
+def test_no_link_in_a_bucket_is_passed_over(spark):
+    texts = {}
+    for i in range(1500):  # 4 of 5 shingles shared, 8 of 10, 40 of 50, and the same with words elsewhere
+        for j, (n, less) in enumerate(((8, 1), (13, 2), (53, 10), (8, 1))):
+            w = [f"{i}.{j}.{k}" for k in range(n)]
+            texts[10 * i + 2 * j], texts[10 * i + 2 * j + 1] = " ".join(w), " ".join(w[less:] if j == 3 else w[:-less])
+    docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in texts.items()], DOCS).select("doc_id", "text")
+    fields = "rep long, n_shingles long, set_a long, set_b long, bands array<long>, " + ", ".join(f"{c} long" for c in minhash._MAP)
+    rows = docs.mapInArrow(minhash._sign(4), fields.replace("rep", "doc_id", 1)).withColumnRenamed("doc_id", "rep")
+    rows = rows.selectExpr("rep", "rep as part", "n_shingles", *minhash._MAP, "explode(bands) as bucket")
+    assert {(r.hi, r.lo) for r in minhash._candidates(rows, 80, 100).collect()} == {(i + 1, i) for i in texts if i % 2 == 0}
+
+
 def test_near_duplicates_edges(spark):
     empty = spark.createDataFrame([], DOCS)
     assert minhash.near_duplicates(empty).count() == 0
