@@ -274,15 +274,39 @@ def _united(batches):
 def remove(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, max_coverage: float = 0.5) -> DataFrame:
     """docs without benchmark passages: the spans of hit words are cut out of the texts, and a document of whose words more than max_coverage were hit goes altogether.
 
-    All columns are kept; texts without a hit (null ones too) stay as they are, byte for byte.
+    All columns are kept; texts without a hit (null ones too) stay as they are, byte for byte. Hits are those of the
+    whole benchmark on the texts as they come, whether it takes one block or several.
     """
-    out = docs
-    sc = docs.sparkSession.sparkContext
-    for auto in automata(items, item_id_col, item_text_col, window):
-        out = out.mapInArrow(_rewrite(sc.broadcast(auto), out.columns.index(text_col), max_coverage), out.schema)
+    sc, at, out = docs.sparkSession.sparkContext, docs.columns.index(text_col), docs
+    for blocks, auto in enumerate(automata(items, item_id_col, item_text_col, window)):
+        if blocks:
+            return _rewrite_blocks(docs, items, text_col, item_id_col, item_text_col, window, max_coverage)
+        out = docs.mapInArrow(_rewrite(sc.broadcast(auto), at, max_coverage), docs.schema)
     return out
 
 
+def _rewrite_blocks(docs: DataFrame, items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, window: int, max_coverage: float) -> DataFrame:
+    """The same for a benchmark of several blocks: hit spans are united for each row, then cut out at once."""
+    rows = cut(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"), F.col(f"`{text_col}`").cast("string").alias("text"), F.monotonically_increasing_id().alias("row")))
+    found = _blocks(rows.select(F.col("row").alias("doc_id"), "text", "row"), items, "long", item_id_col, item_text_col, window)
+    hits = found.filter("n_hit > 0").select(F.col("doc_id").alias("hit_row"), "n_words", "n_hit", "cuts")
+    both = rows.join(hits, F.col("row") == F.col("hit_row"), "left").filter(F.col("n_hit").isNull() | (F.col("n_hit") <= F.lit(float(max_coverage)) * F.col("n_words")))
+    out = both.select("text", "cuts", "whole").mapInArrow(_without, f"text string, whole {rows.schema['whole'].dataType.simpleString()}")
+    return out.select(*(F.col("text").cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col(f"whole.`{c}`").alias(c) for c in docs.columns))
+
+
+def _without(batches):
+    """(text, whole) from (text, cuts, whole): the text without the spans of bytes in cuts."""
+    for batch in batches:
+        texts = []
+        for text, cuts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if cuts:
+                raw, at = text.encode(), [0, *cuts, None]
+                text = b"".join(raw[a:b] for a, b in zip(at[::2], at[1::2], strict=True)).decode()
+            texts.append(text)
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(2)], ["text", "whole"])
+
+
 def _rewrite(shared, at: int, max_coverage: float):
     def run(batches):
         scan_ = _scan(shared, True)

@@ -128,3 +128,16 @@ def test_removal(spark):
     assert got == {1: ("Keep this. ! And that too, with more words here", "x"), 3: (None, "z"), 4: ("clean", "w")}
     assert decontaminate.remove(docs, items.filter("false")).count() == 4 and decontaminate.scan(docs, items.filter("false")).count() == 4
     assert decontaminate.scan(docs.filter("false"), items).count() == 0
+
+
+def test_removal_with_several_blocks(spark, monkeypatch):
+    a, b, c = "a1 a2 a3 a4 a5 a6", "b1 b2 b3 b4 b5 b6", "a4 a5 a6 c1 c2 c3"
+    items = spark.createDataFrame([(1, a), (2, b), (3, c)], "item_id long, text string")
+    rows = [(1, f"{a} {b} x y z"), (2, f"p q r s t u v, {a} c1 c2 c3; w"), (3, None), (4, "clean\n"), (5, f"é p q r s t u v w x {b}!"), (None, "n")]
+    docs = spark.createDataFrame([(i, t, "l", "k") for i, t in rows], "doc_id long, text string, lang string, row string")
+    read = lambda: sorted(map(tuple, decontaminate.remove(docs, items, window=5, max_coverage=0.6).collect()), key=str)
+    want = read()
+    assert {r[0]: r[1] for r in want} == {2: "p q r s t u v, ; w", 3: None, 4: "clean\n", 5: "é p q r s t u v w x !", None: "n"}
+    real = decontaminate.automata
+    monkeypatch.setattr(decontaminate, "automata", lambda *x: real(*x, block_bytes=10))
+    assert read() == want
