@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +45,12 @@ def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 class Encoder:
-    """Ids of pieces, remembered by hash. `encode` gives the ids of one text, `widths` the bytes of each id."""
+    """Ids of pieces, remembered by hash. `encode` gives the ids of one text, `widths` the bytes of each id; each occurrence of one of `added` becomes its id, and texts are cut there before anything else."""
 
-    def __init__(self, encode, widths: np.ndarray):
-        self.encode, self.widths = encode, widths
+    def __init__(self, encode, widths: np.ndarray, added: dict[bytes, int] | None = None):
+        self.encode, self.widths, self.added = encode, widths, added or {}
+        # Leftmost first, of those the longest, as the library finds them.
+        self.literal = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.reset()
 
     def reset(self) -> None:
@@ -66,6 +70,29 @@ class Encoder:
 
     def __call__(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, one after another, and the number of each row's."""
+        raw = buf.tobytes() if self.literal else b""
+        if not self.literal or not self.literal.search(raw):
+            return self._pieced(buf, offs)
+        spots = []
+        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+            own = [(m.start(), m.end(), self.added[m[0]]) for m in self.literal.finditer(raw[a:b])]
+            spots += [(a + s, a + e, i) for s, e, i in own]
+        # The stretches between occurrences are rows of their own; an occurrence is one without ids to which its id is given.
+        gone = np.array(spots, np.int64).reshape(-1, 3)
+        keep = np.ones(len(buf), bool)
+        keep[tx.gather(gone[:, 0], gone[:, 1] - gone[:, 0])] = False
+        left = np.concatenate(([0], np.cumsum(keep)))
+        edges = np.concatenate((offs[:-1], gone[:, 1]))
+        kind = np.concatenate((np.full(len(offs) - 1, -1), gone[:, 2]))
+        row = np.concatenate((np.arange(len(offs) - 1), np.searchsorted(offs, gone[:, 0], "right") - 1))
+        by = np.lexsort((edges, row))  # stable: a row's own start comes before an occurrence
+        kind, row = kind[by], row[by]
+        ids, n = self._pieced(buf[keep], np.append(left[edges[by]], left[-1]))
+        at = np.concatenate(([0], np.cumsum(n)))[:-1][kind >= 0]
+        ids = np.insert(ids, at, kind[kind >= 0].astype(ids.dtype))
+        return ids, np.bincount(row, weights=n + (kind >= 0), minlength=len(offs) - 1).astype(np.int64)
+
+    def _pieced(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, first, plain = pieces(buf, offs)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(offs) - 1, np.int64)
@@ -122,9 +149,9 @@ def tiktoken_encoder(path: str, pattern: str) -> tuple[Encoder, list[bytes]]:
     return _loaded[key]
 
 
-def tokenizer_encoder(path: str) -> Encoder:
-    """The worker's encoder of a tokenizers file with a byte-level vocabulary."""
-    key = ("file", path)
+def tokenizer_encoder(path: str, recognise: bool = False) -> Encoder:
+    """The worker's encoder of a tokenizers file with a byte-level vocabulary; recognise: the file's added tokens become their ids, as is the library's default, instead of text like any other."""
+    key = ("file", path, recognise)
     if key not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -134,7 +161,14 @@ def tokenizer_encoder(path: str) -> Encoder:
         widths = np.zeros(tok.get_vocab_size(), np.int64)
         for w, i in tok.get_vocab().items():
             widths[i] = len(w)  # one character of a byte-level vocabulary stands for one byte
-        _loaded[key] = Encoder(lambda text: tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, widths)
+        added = {}
+        if recognise:
+            with open(path, encoding="utf-8") as f:
+                tokens = json.load(f).get("added_tokens") or []
+            if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or not t["special"] for t in tokens):
+                raise ValueError("an added token isn't found by its bytes alone")
+            added = {t["content"].encode(): t["id"] for t in tokens}
+        _loaded[key] = Encoder(lambda text: tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, widths, added)
     return _loaded[key]
 
 

@@ -40,7 +40,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfile.new_path(spark)
-    tokenfile.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    tokenfile.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, recognise=True)
     return tokenfile.summary(spark, path)
 
 

@@ -124,10 +124,10 @@ def unpack(payload: np.ndarray, n: np.ndarray, bits_of: np.ndarray, lookup: np.n
     return out
 
 
-def _tokenize(path: str, end_id: int):
+def _tokenize(path: str, end_id: int, recognise: bool):
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=1)
-        encoder = tokenizer_encoder(path)
+        encoder = tokenizer_encoder(path, recognise)
         kind = np.uint16 if len(encoder.widths) <= 1 << 16 else np.uint32
         for batch in batches:
             for lo, hi, buf, offs in tx.slices(batch.column(1), _SLICE):
@@ -198,15 +198,15 @@ def _blocks(batches):
         yield close()
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> None:
-    """Encodes every text (a null one is empty) with a tokenizers file, ends it with end_id, and writes all ids to path in ascending order of the ids of the rows (null ids first, repeated ones side by side)."""
+def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, recognise: bool = False) -> None:
+    """Encodes every text (a null one is empty) with a tokenizers file, ends it with end_id, and writes all ids to path in ascending order of the ids of the rows (null ids first, repeated ones side by side). With recognise, the file's added tokens become their ids where a text holds them, as is the library's default."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     from tokenizers import Tokenizer
 
     vocab = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
     wide = vocab > 1 << 16
-    tokens = cut(docs.mapInArrow(_tokenize(tokenizer, end_id), "doc_ids array<long>, counts array<long>, ids binary"))
+    tokens = cut(docs.mapInArrow(_tokenize(tokenizer, end_id, recognise), "doc_ids array<long>, counts array<long>, ids binary"))
     found = np.zeros(vocab, np.int64)
     for row in tokens.select("ids").mapInArrow(_tally(wide, vocab), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # a row for each id of the vocabulary at most
         found[row.id] = row.n

@@ -57,6 +57,17 @@ def test_files_round_trip(spark, tmp_path):
     assert {r.doc_id: r.ids for r in tokenfile.read(spark, path).collect()} == {i: x for i, (_, x) in want.items()}
 
 
+def test_files_hold_added_tokens_as_the_library_has_them(spark, tmp_path):
+    tok, end = Tokenizer.from_file(FILE), "<|endoftext|>"
+    texts = [*TEXTS, f"end of one {end} next one", end, f"{end}{end}", f"{end} a", f"a\n\n{end}  b {end}", f"<|endof{end}text|>", "<|endof", "text|>", f"x 　{end}　 y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = f"file://{tmp_path}/ids"
+    tokenfile.write(docs, path, FILE, recognise=True)
+    want = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert {r.doc_id: r.ids for r in tokenfile.read(spark, path).collect()} == want
+    assert 50256 in want[len(TEXTS)]
+
+
 def test_files_of_nothing_and_of_null_ids(spark, tmp_path):
     docs = spark.createDataFrame([(None, "a"), (1, "b"), (1, "b")], "doc_id long, text string")
     tokenfile.write(docs.filter("false"), f"file://{tmp_path}/a", FILE)
