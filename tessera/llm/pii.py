@@ -4,7 +4,8 @@ Base spans seed the bootstrap. Every mention (a base span, or any other stretch
 has an instance (its characters) and lexical patterns (two words to the left; the word to the left, or to the right,
 with the mention's shape). Spark scores the graph of patterns and instances in rounds: a pattern's confidence in a kind
 is the summed confidence of its instances of that kind over all its instances; instances that confident patterns agree
-on join the kind, and count in the next round. Mentions of joined instances are added to the base spans.
+on join the kind for good, and count from the next round on, until a round adds none. Mentions of joined instances are
+added to the base spans.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from tessera.llm import _text as tx
 from tessera.llm._spark import cut
 
 KINDS = ("email", "ip", "card", "phone")
-#: Rounds, least confidence of a pattern and of a new instance, least number of seeds that support a pattern.
-ROUNDS, PATTERN, INSTANCE, SUPPORT = 3, 0.8, 0.9, 3
+#: Least confidence of a pattern and of a new instance, least number of known instances that support a pattern.
+PATTERN, INSTANCE, SUPPORT = 0.8, 0.9, 3
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -124,6 +125,7 @@ _SIGNS = np.zeros(256, bool)
 _SIGNS[48:58] = _SIGNS[64] = True
 
 
+@tx.released
 def _found(batches):
     for batch in batches:
         for lo, hi, buf, offs in tx.slices(batch.column(2)):
@@ -148,25 +150,24 @@ def _found(batches):
 
 
 def bootstrap(graph: DataFrame) -> DataFrame:
-    """(inst, kind) of the instances that the rounds add; graph: distinct (inst, kind or -1, pat)."""
+    """(inst, kind) of the instances that the rounds add; graph: distinct (inst, kind or -1, pat).
+
+    An instance that joined stays, so every round but the last adds one at least and the rounds end. An empty graph adds
+    none. Of kinds that are as likely, the first counts.
+    """
     known = cut(graph.filter("kind >= 0").groupBy("inst", "kind").agg(F.lit(1.0).alias("conf")))
     links = cut(graph.select("inst", "pat").distinct())
     size = links.groupBy("pat").agg(F.count("*").alias("n")).withColumnRenamed("pat", "of")
-    base_ = known.select("inst").distinct()
-    added = None
-    for _ in range(ROUNDS):
+    added = known.select("inst", "kind").filter("false")
+    while True:
         score = links.join(known, "inst").groupBy("pat", "kind").agg(F.sum("conf").alias("sum"), F.count("*").alias("support")).filter(F.col("support") >= SUPPORT)
         score = score.join(size, F.col("pat") == F.col("of")).withColumn("trust", F.col("sum") / (F.col("n") + 0.5)).filter(F.col("trust") >= PATTERN).select("pat", "kind", "trust")
-        new = links.join(base_, "inst", "left_anti").join(score, "pat").groupBy("inst", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("conf")).filter(F.col("conf") >= INSTANCE)
-        new = new.groupBy("inst").agg(F.max(F.struct("conf", (-F.col("kind")).alias("first"))).alias("best")).select("inst", (-F.col("best.first")).alias("kind"), F.col("best.conf").alias("conf"))
-        new = cut(new)
-        n = new.count()
-        grown = n != (added.count() if added is not None else 0)
-        added = new
-        if not grown:
-            break
-        known = known.join(added.select("inst"), "inst", "left_anti").unionByName(added)
-    return added.select("inst", "kind")
+        new = links.join(known.select("inst").distinct(), "inst", "left_anti").join(score, "pat").groupBy("inst", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("conf")).filter(F.col("conf") >= INSTANCE)
+        new = new.groupBy("inst").agg(F.max(F.struct("conf", (-F.col("kind")).alias("first"))).alias("best"))
+        new = cut(new.select("inst", (-F.col("best.first")).alias("kind"), F.col("best.conf").alias("conf")))
+        if new.isEmpty():
+            return added
+        known, added = cut(known.unionByName(new)), cut(added.unionByName(new.select("inst", "kind")))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
