@@ -12,10 +12,12 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set and Spark runs in one process, as in tests."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not (sc.master or "").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tessera-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)

@@ -6,6 +6,9 @@ depends on the slice and on its longest single text, never on the number of rows
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +17,8 @@ import pyarrow.compute as pc
 
 U = np.uint64
 SLICE = 4 << 20
-_BLOCK = 1 << 20
+_BLOCK = 1 << 17
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
 _STEP = U(0x9E3779B97F4A7C15)
 
 
@@ -33,10 +37,13 @@ def seeds(n: int, tag: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=U) * _STEP + U(tag)) | U(1)
 
 
-#: One code for each byte; the second table gives A-Z the codes of a-z.
-EXACT = seeds(256, 11)
-FOLDED = EXACT.copy()
-FOLDED[65:91] = EXACT[97:123]
+#: Places in a span that have codes of their own; a longer span is hashed by pieces of so many bytes.
+LANE = 32
+#: A code for each place and byte; the second table gives A-Z the codes of a-z.
+EXACT = mix(np.arange(1, LANE * 256 + 1, dtype=U) * _STEP + U(11))
+FOLDED = EXACT.reshape(LANE, 256).copy()
+FOLDED[:, 65:91] = FOLDED[:, 97:123]
+FOLDED = FOLDED.reshape(-1)
 
 #: Bytes of words between ASCII white space, and of words of digits, letters and non-ASCII characters.
 SOLID = np.ones(256, bool)
@@ -46,18 +53,25 @@ ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 NOT_NEWLINE = np.ones(256, bool)
 NOT_NEWLINE[10] = False
 
-_powers = [np.ones(1, U), np.ones(1, U)]
 
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-    if len(_powers[0]) < n:
-        size, base = max(n, _BLOCK + 1), 0x5851F42D4C957F2D
-        for i, b in enumerate((base, pow(base, -1, 1 << 64))):
-            p = np.full(size, b, U)
-            p[0] = 1
-            _powers[i] = np.cumprod(p)
-    return _powers[0], _powers[1]
+
+def released(run):
+    """run, a function of batches; once a task's rows are through, its worker gives back to the machine what it doesn't hold any more."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return wrapped
 
 
 def slices(col, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -89,26 +103,47 @@ def spans(buf: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> tuple[np.nda
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = EXACT) -> np.ndarray:
-    """A 64-bit polynomial hash of each span (spans ascend and don't overlap)."""
+def _sums(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of LANE bytes at most: the sum of the codes of its bytes in their places, mixed with its length."""
     out = np.empty(len(starts), U)
     a = 0
     while a < len(starts):
         b = max(a + 1, int(np.searchsorted(ends, starts[a] + _BLOCK, "right")))
         base = starts[a]
-        v = codes[buf[base : ends[b - 1]]]
-        up, down = _power(len(v) + 1)
-        v *= up[: len(v)]
-        total = np.empty(len(v) + 1, U)
+        s, e = starts[a:b] - base, ends[a:b] - base
+        size = int(e[-1])
+        place = np.arange(size, dtype=np.uint16)  # wraps around, which places modulo LANE don't notice
+        place -= np.repeat(s.astype(np.uint16), np.diff(np.append(s, size)))
+        place &= np.uint16(LANE - 1)
+        place <<= np.uint16(8)
+        place |= buf[base : base + size]
+        total = np.empty(size + 1, U)
         total[0] = 0
-        np.cumsum(v, out=total[1:])
-        s = starts[a:b] - base
-        out[a:b] = (total[ends[a:b] - base] - total[s]) * down[s]
+        np.cumsum(codes.take(place), out=total[1:])
+        out[a:b] = total[e] - total[s]
         a = b
     out += (ends - starts).astype(U) * _STEP
     return mix(out)
 
 
+def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = EXACT) -> np.ndarray:
+    """A 64-bit hash of each span (spans ascend, aren't empty and don't overlap): tabulated by byte and place, so structure in the bytes makes no collisions; two given spans collide with odds of about 2**-64."""
+    n = ends - starts
+    parts = (n + LANE - 1) // LANE
+    if not len(n) or parts.max() == 1:
+        return _sums(buf, starts, ends, codes)
+    first = np.concatenate(([0], np.cumsum(parts)))
+    inner = np.arange(first[-1]) - np.repeat(first[:-1], parts)
+    s = np.repeat(starts, parts) + inner * LANE
+    h = _sums(buf, s, np.minimum(s + LANE, np.repeat(ends, parts)), codes)
+    out = h[first[:-1]]
+    long = np.flatnonzero(parts > 1)
+    at = gather(first[long], parts[long])
+    own = mix(h[at] + inner[at].astype(U) * _SHINGLE[0])
+    out[long] = mix(np.add.reduceat(own, np.cumsum(parts[long]) - parts[long]) + n[long].astype(U) * _STEP)
+    return out
+
+
 _SHINGLE = seeds(64, 23)
 
 
@@ -145,13 +180,6 @@ def gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(total)
 
 
-def code_points(buf: np.ndarray) -> np.ndarray:
-    """For each byte offset (and the end), the number of code points before it."""
-    out = np.zeros(len(buf) + 1, np.int64)
-    np.cumsum((buf & 0xC0) != 0x80, out=out[1:])
-    return out
-
-
 def strings(parts: list[bytes]) -> pa.Array:
     offs = np.zeros(len(parts) + 1, np.int32)
     np.cumsum([len(p) for p in parts], out=offs[1:])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tessera.llm import _text as tx
 
 #: Distinct pieces, and their bytes, that a worker remembers before it starts afresh.
-CACHE_PIECES, CACHE_BYTES = 500_000, 32 << 20
+CACHE_PIECES, CACHE_BYTES = 200_000, 16 << 20
 
 
 def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -182,7 +182,7 @@ def _round(path: str, pattern: str, digest: bool):
         encoder, words = tiktoken_encoder(path, pattern)
         starts = np.concatenate(([0], np.cumsum([len(w) for w in words])))
         table = np.frombuffer(b"".join(words), np.uint8)
-        text = np.array([f"{i}," for i in range(len(words))], "S6").view(np.uint8).reshape(len(words), 6)
+        text = np.array([f"{i}," for i in range(len(words))], "S").view(np.uint8).reshape(len(words), -1)
         digits = (text != 0).sum(1)
         at = np.concatenate(([0], np.cumsum(digits)))
         flat = text[text != 0]
@@ -207,7 +207,7 @@ def _round(path: str, pattern: str, digest: bool):
                     cols.append(tx.strings([raw[a:b] for a, b in zip(width[:-1].tolist(), width[1:].tolist(), strict=True)]))
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded"))])
 
-    return run
+    return tx.released(run)
 
 
 def _select(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
@@ -238,7 +238,7 @@ def _bytes(path: str, pattern: str):
             rows = (b"".join(map(words.__getitem__, ids or ())) for ids in batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(rows), pa.binary())], ["doc_id", "content"])
 
-    return run
+    return tx.released(run)
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

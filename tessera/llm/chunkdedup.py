@@ -4,7 +4,8 @@ The gear hash (16 bytes wide) is read at the end of each word; a chunk ends wher
 on either side, so cuts depend on nearby text alone and come back into step right after an insertion. Chunks hold
 between REACH + 1 words and, in text without a largest place, MOST. A chunk is shared if its digest occurs in another
 document or earlier in the same one. Of a run of chunks that are each shared with an earlier place, and that together
-hold min_words words or more, every word is removed.
+hold min_words words or more, every word is removed. Digests have 64 bits: of 10**13 chunks some collide, but text goes
+only where all chunks of a run do.
 """
 
 from __future__ import annotations
@@ -59,16 +60,12 @@ def chunks(buf: np.ndarray, offs: np.ndarray):
         at = np.repeat(at, parts) + inner * MOST
     edge = np.append(at, n)
     h = tx.hashes(buf, starts, ends)
-    digests = np.empty(len(at), U)
-    for a in range(0, len(at), 1 << 16):
-        b = min(len(at), a + (1 << 16))
-        base, stop = edge[a], edge[b]
-        up, down = tx._power(stop - base + 1)
-        total = np.concatenate((np.zeros(1, U), np.cumsum(h[base:stop] * up[: stop - base])))
-        digests[a:b] = (total[edge[a + 1 : b + 1] - base] - total[edge[a:b] - base]) * down[edge[a:b] - base]
+    place = np.arange(n) - np.repeat(at, np.diff(edge))
+    digests = np.add.reduceat(tx.mix(h + place.astype(U) * _GEAR[0]), at)
     return starts, ends, first, edge, np.searchsorted(at, first), tx.mix(digests + np.diff(edge).astype(U))
 
 
+@tx.released
 def _digests(batches):
     """(digest, doc_id): each distinct chunk of each row."""
     for batch in batches:
@@ -136,7 +133,7 @@ def _apply(min_words: int):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.compute.if_else(null, pa.scalar(None, pa.string()), text), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), *(c.slice(lo, hi - lo) for c in batch.columns[4:])], ["doc_id", "text", "n_chunks", "n_words", "n_repeated", "n_removed", "removed", "first_ids"])
                 at = hi
 
-    return run
+    return tx.released(run)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

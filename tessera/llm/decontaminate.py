@@ -191,7 +191,7 @@ def _scan(shared, rewrite: bool):
                     cols, names = [*cols, tx.strings(texts)], [*names, "clean"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    return run
+    return tx.released(run)
 
 
 def automata(items: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int = BLOCK_BYTES):
@@ -252,6 +252,7 @@ def _blocks(docs: DataFrame, items: DataFrame, kind: str, item_id_col: str, item
     return _tidy(both.mapInArrow(_united, f"doc_id {kind}, n_words long, n_hit long, items array<string>, cuts array<long>"))
 
 
+@tx.released
 def _united(batches):
     for batch in batches:
         for lo, hi, buf, offs in tx.slices(batch.column(1)):
@@ -295,6 +296,7 @@ def _rewrite_blocks(docs: DataFrame, items: DataFrame, text_col: str, item_id_co
     return out.select(*(F.col("text").cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col(f"whole.`{c}`").alias(c) for c in docs.columns))
 
 
+@tx.released
 def _without(batches):
     """(text, whole) from (text, cuts, whole): the text without the spans of bytes in cuts."""
     for batch in batches:
@@ -323,7 +325,7 @@ def _rewrite(shared, at: int, max_coverage: float):
             cols = [new if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names).filter(pa.array(hit <= max_coverage * n))
 
-    return run
+    return tx.released(run)
 
 
 def sha256_of(items: list[str]) -> str:

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm import _text as tx
 from tessera.llm._spark import cut
 
 #: Orderings, dimensions and bits of a key, neighbours on either side, rows in a block of an ordering, rows in blocks of data and of queries in the completion.
@@ -83,7 +84,7 @@ def _keyed(top: float, every: int):
                     n = len(ids) + len(asked)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, c, np.int32)), pa.array(np.concatenate((keys[:, c], q[:, c]))), pa.array(np.arange(n) >= len(ids)), pa.array(np.concatenate((ids, ids[asked]))), pa.concat_arrays([part.column(1), part.column(1).take(pa.array(asked))])], ["curve", "key", "query", "vec_id", "v"])
 
-    return run
+    return tx.released(run)
 
 
 def scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -144,6 +145,7 @@ def _needs(q: np.ndarray, floors: np.ndarray, centre: bytes, radius: float) -> n
     return bound * (1 + 1e-9 * np.sign(bound)) + 1e-12 >= floors
 
 
+@tx.released
 def _open_pairs(batches):
     """(block, asked) whose bound leaves a query open."""
     for batch in batches:
@@ -166,7 +168,7 @@ def _completed(k: int):
                     x, y, s = _best(q[own], q_ids[own], v, ids, k)
                     yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(s)], ["query_id", "vec_id", "score"])
 
-    return run
+    return tx.released(run)
 
 
 def _ranked(df: DataFrame, *order: str) -> DataFrame:

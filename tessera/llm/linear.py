@@ -34,6 +34,7 @@ def cells(buf: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = None) -
     return key & (CELLS - 1), np.searchsorted(key >> BITS, np.arange(len(offs)))
 
 
+@tx.released
 def _features(batches):
     for batch in batches:
         for lo, hi, buf, offs in tx.slices(batch.column(0)):

@@ -90,7 +90,7 @@ def _sign(k: int):
                 flags = parities(u, at)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), *(pa.array(x.view(np.int64)) for x in sums), lists, *(pa.array(np.ascontiguousarray(flags[:, j])) for j in range(WORDS))], ["doc_id", "n_shingles", "set_a", "set_b", "bands", *_MAP])
 
-    return run
+    return tx.released(run)
 
 
 def _confirm(k: int, num: int, den: int):
@@ -119,7 +119,7 @@ def _confirm(k: int, num: int, den: int):
                     ok.append(den * both >= num * (len(a) + len(b) - both))
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(lo, hi - lo).filter(pa.array(ok)) for i in (0, 1)], ["hi", "lo"])
 
-    return run
+    return tx.released(run)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:

@@ -56,6 +56,7 @@ def _views(buf, offs, columns, wanted=None):
     return cell, at, _shape(buf, offs), _meta(columns, np.diff(offs), np.diff(total[offs]))
 
 
+@tx.released
 def _featured(batches):
     """(text, id, label, metadata...) -> (id, label, cells, shape, meta)"""
     for batch in batches:
@@ -150,7 +151,7 @@ def _score(shared):
                     p = [linear.sigmoid(x) for x in (*z, np.column_stack(z) @ mix[:-1] + mix[-1])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *map(pa.array, p)], ["doc_id", "p_text", "p_metadata", "p_quality"])
 
-    return run
+    return tx.released(run)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ("source", "lang"), label_id: str = "doc_id", sample: int = SAMPLE) -> Views:

@@ -140,7 +140,7 @@ def _tokenize(path: str, end_id: int, recognise: bool):
                 blob = squeeze.compress(all_ids.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).slice(lo, hi - lo).to_pylist()], pa.list_(pa.int64())), pa.array([(n + 1).tolist()], pa.list_(pa.int64())), pa.array([blob], pa.binary())], ["doc_ids", "counts", "ids"])
 
-    return run
+    return tx.released(run)
 
 
 def _ids(blob: bytes, wide: bool) -> np.ndarray:
@@ -156,7 +156,7 @@ def _tally(wide: bool, vocab: int):
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    return run
+    return tx.released(run)
 
 
 def _pack(wide: bool, book, bounds: np.ndarray):
@@ -174,9 +174,10 @@ def _pack(wide: bool, book, bounds: np.ndarray):
                     ["shard", "doc_id", "n", "runs", "data"],
                 )
 
-    return run
+    return tx.released(run)
 
 
+@tx.released
 def _blocks(batches):
     """Rows of one shard, ascending, joined into blocks."""
     rows, n, start, block, shard = [], 0, 0, 0, None
@@ -227,7 +228,7 @@ def _unpack(book):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 yield row, unpack(np.frombuffer(row[6], np.uint8), np.array(row[4], np.int64), np.frombuffer(row[5], np.uint16), lookup, bits)
 
-    return run
+    return tx.released(run)
 
 
 def _summary(book):
@@ -240,7 +241,7 @@ def _summary(book):
             crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays([pa.array([shard] * len(doc_ids), pa.int32()), pa.array(doc_ids, pa.int64()), pa.array(start + ends[:-1]), pa.array(counts, pa.int64()), pa.array(crc, pa.int64())], ["shard", "doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return run
+    return tx.released(run)
 
 
 def _arrays(book):
@@ -251,7 +252,7 @@ def _arrays(book):
             ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], ["doc_id", "ids"])
 
-    return run
+    return tx.released(run)
 
 
 def _open(spark: SparkSession, path: str):

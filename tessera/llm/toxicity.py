@@ -118,7 +118,7 @@ def _score(shared, at: int):
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(before[:, k]) for k in range(before.shape[1]))], [*batch.schema.names, *(f"_p{k}" for k in range(before.shape[1]))])
 
-    return run
+    return tx.released(run)
 
 
 def _scored(docs: DataFrame, chain: Chain, text_col: str) -> DataFrame:
