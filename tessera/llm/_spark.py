@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,25 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEANUP, before)
 
 
+def table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df, written to a folder of its own in shared storage, and that folder."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    before = df.sparkSession.conf.get(_CLEANUP)
+    df.sparkSession.conf.set(_CLEANUP, "true")
+    try:
+        df.select("*").write.parquet(path)
+    finally:
+        df.sparkSession.conf.set(_CLEANUP, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, *paths: str) -> None:
+    """Removes folders that table() gave."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _stars(e: DataFrame) -> bool:
     """Whether every node hangs from one other, and those hang from none."""
     if e.groupBy("hi").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():

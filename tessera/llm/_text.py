@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import ctypes
 import functools
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +54,6 @@ NOT_NEWLINE[10] = False
 
 
 def _give_back() -> None:
-    gc.collect()
     pa.default_memory_pool().release_unused()
     if _TRIM:
         _TRIM(0)
