@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm import _text as tx
 
-#: Distinct pieces, and their bytes, that a worker remembers before it starts afresh.
-CACHE_PIECES, CACHE_BYTES = 200_000, 16 << 20
+#: Distinct pieces, and their bytes, that a worker remembers before it forgets those that the texts at hand don't repeat.
+CACHE_PIECES, CACHE_BYTES = 300_000, 32 << 20
+_SLICE = 2 << 20
 
 
 def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -44,6 +45,23 @@ def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(starts, offs), space[starts] & firm[ends - 1]
 
 
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes, where each stands first, and which of them each is."""
+    n = len(h)
+    low = tx.U((1 << max(1, n - 1).bit_length()) - 1)
+    key = np.sort(h & ~low | np.arange(n, dtype=tx.U))  # many times as fast as an order of the hashes; their low bits are looked at below
+    place = (key & low).astype(np.int64)
+    h = h[place]
+    new = np.concatenate(([True], (key[1:] ^ key[:-1]) > low))
+    if not np.array_equal(new[1:], h[1:] != h[:-1]):
+        by = np.argsort(h, kind="stable")
+        place, h = place[by], h[by]
+        new = np.concatenate(([True], h[1:] != h[:-1]))
+    back = np.empty(n, np.int64)
+    back[place] = np.cumsum(new) - 1
+    return h[new], place[new], back
+
+
 class Encoder:
     """Ids of pieces, remembered by hash. `encode` gives the ids of one text, `widths` the bytes of each id; each occurrence of one of `added` becomes its id, and texts are cut there before anything else."""
 
@@ -96,10 +114,17 @@ class Encoder:
         starts, ends, first, plain = pieces(buf, offs)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(offs) - 1, np.int64)
+        kinds, one, back = _distinct(tx.hashes(buf, starts, ends))
+        place = np.array([self.known.get(h, -1) for h in kinds.tolist()], np.int64)
         if self.n > CACHE_PIECES or self.bytes > CACHE_BYTES:
+            old = np.flatnonzero(place >= 0)
+            counts = self.at[place[old] + 1] - self.at[place[old]]
+            ids = self.ids[tx.gather(self.at[place[old]], counts)]
             self.reset()
-        kinds, one, back = np.unique(tx.hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        place = np.array([self.known.get(h, -1) for h in kinds.tolist()], np.int64)
+            self._add(ids, counts)
+            place[old] = np.arange(len(old))
+            self.known = dict(zip(kinds[old].tolist(), place[old].tolist(), strict=True))
+            self.bytes = int((ends - starts)[one[old]].sum())
         new = np.flatnonzero(place < 0)
         if len(new):
             # Plain pieces start with white space and end without: side by side, they're still cut apart.
@@ -187,7 +212,7 @@ def _round(path: str, pattern: str, digest: bool):
         at = np.concatenate(([0], np.cumsum(digits)))
         flat = text[text != 0]
         for batch in batches:
-            for lo, hi, buf, offs in tx.slices(batch.column(1)):
+            for lo, hi, buf, offs in tx.slices(batch.column(1), _SLICE):
                 ids, n = encoder(buf, offs)
                 ends = np.concatenate(([0], np.cumsum(n)))
                 raw = decode(ids, table, starts)

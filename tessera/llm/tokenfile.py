@@ -199,8 +199,21 @@ def _blocks(batches):
         yield close()
 
 
+def _bounds(docs: DataFrame, shards: int) -> np.ndarray:
+    """The largest doc_id of each shard but the last: ids alone are dealt by range, and the driver gets a number a shard."""
+    if shards == 1:
+        return np.zeros(0, np.int64)
+    parts = docs.select("doc_id").repartitionByRange(shards, "doc_id").groupBy(F.spark_partition_id().alias("part")).agg(F.max("doc_id").alias("last")).collect()
+    return np.array(sorted(r.last for r in parts if r.last is not None)[:-1], np.int64)
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, recognise: bool = False) -> None:
-    """Encodes every text (a null one is empty) with a tokenizers file, ends it with end_id, and writes all ids to path in ascending order of the ids of the rows (null ids first, repeated ones side by side). With recognise, the file's added tokens become their ids where a text holds them, as is the library's default."""
+    """Encodes every text (a null one is empty) with a tokenizers file, ends it with end_id, and writes all ids to path in ascending order of the ids of the rows (null ids first, repeated ones side by side).
+
+    With recognise, the file's added tokens become their ids where a text holds them, as is the library's default. A
+    text of any length is one document of one block; an empty table gives files without blocks; other columns, whatever
+    their names, are ignored.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     from tokenizers import Tokenizer
@@ -213,8 +226,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
         found[row.id] = row.n
     sizes = lengths(found)
     shards = max(1, -(-int(found.sum()) // SHARD_IDS))
-    bounds = docs.stat.approxQuantile("doc_id", [i / shards for i in range(1, shards)], 0.1 / shards) if shards > 1 else []
-    packed = tokens.mapInArrow(_pack(wide, spark.sparkContext.broadcast(sizes), np.array(sorted(set(map(int, bounds))), np.int64)), "shard int, doc_id long, n long, runs binary, data binary")
+    packed = tokens.mapInArrow(_pack(wide, spark.sparkContext.broadcast(sizes), _bounds(docs, shards)), "shard int, doc_id long, n long, runs binary, data binary")
     ordered = packed.repartitionById(shards, "shard").sortWithinPartitions("shard", "doc_id", "n", "data")
     out = ordered.mapInArrow(_blocks, "shard int, block long, start long, doc_ids array<long>, counts array<long>, checkpoints binary, payload binary")
     out.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
