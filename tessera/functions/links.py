@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -19,8 +20,8 @@ LABEL = (
 
 
 def hostname(url: Column) -> Column:
-    """The host in lower case, with or without a scheme, port or user; null if there is none."""
-    return F.lower(F.try_parse_url(F.when(F.contains(url, F.lit("://")), url).otherwise(F.concat(F.lit("https://"), url)), F.lit("HOST")))
+    """The host in lower case, with or without a scheme, port or user, whatever characters the path or the host holds; null if there is none."""
+    return F.nullif(F.lower(F.regexp_extract(url, r"^(?:[^/?#]*?://)?(?:[^/?#]*@)?([^/?#@:]*)", 1)), F.lit(""))
 
 
 def under(host: Column, domain: Column) -> Column:
@@ -56,8 +57,42 @@ def resolve(base: Column, href: Column) -> Column:
     return join(base, href)
 
 
+class _Anchors(HTMLParser):
+    """Targets and labels of the links of a page: each piece of text is stripped, and a link that isn't closed ends where the next begins."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: list[tuple[str | None, list[str]]] = []
+        self.open = False
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            target = dict(attrs).get("href")
+            self.open = target is not None
+            if self.open:
+                self.found.append((target, []))
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.open = False
+
+    def handle_data(self, data):
+        if self.open:
+            self.found[-1][1].append(data.strip())
+
+
+def _parsed(html: str) -> list[dict]:
+    page = _Anchors()
+    page.feed(html)
+    page.close()
+    return [{"href": h, "label": "".join(t)} for h, t in page.found]
+
+
 def anchors(html: Column) -> Column:
-    """(href, label) of the links in a page, in order: quoted targets, labels without tags and with each piece of text stripped."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*?href\s*=\s*[\"'][^\"']*[\"'][^>]*>.*?</a>"), F.lit(0))
-    label = lambda a: F.trim(F.regexp_replace(F.regexp_replace(a, r"(?is)^<a[^>]*>|</a>$", ""), r"(?s)\s*<[^>]+>\s*", ""))
-    return F.transform(found, lambda a: F.struct(F.regexp_extract(a, r"(?is)href\s*=\s*[\"']([^\"']*)[\"']", 1).alias("href"), label(a).alias("label")))
+    """(href, label) of the links in a page, in order, as a parser sees them: any quoting, entities resolved, labels without tags. Of a null, none."""
+
+    @F.pandas_udf("array<struct<href:string,label:string>>")
+    def parse(pages: pd.Series) -> pd.Series:
+        return pd.Series([_parsed(p or "") for p in pages])
+
+    return parse(html)

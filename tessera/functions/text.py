@@ -67,9 +67,14 @@ def _folding() -> tuple[str, str]:
 _FOLD = _folding()
 
 
+def is_ascii(x: Column) -> Column:
+    return F.length(x) == F.octet_length(x)
+
+
 def fold(x: Column) -> Column:
-    """Without diacritics; the d with stroke becomes d."""
-    return F.translate(x, *_FOLD)
+    """Without diacritics; the d with stroke becomes d. Only words that aren't ASCII are looked up letter by letter."""
+    word = lambda w: F.when(is_ascii(w), w).otherwise(F.translate(w, *_FOLD))
+    return F.when(is_ascii(x), x).otherwise(F.array_join(F.transform(F.split(x, " ", -1), word), " "))
 
 
 def normal(x: Column) -> Column:

@@ -12,12 +12,13 @@ import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 
 CHUNK = "array<struct<heading:string,text:string,token_count:int>>"
+# The patterns of functions.text, as Python writes them.
 _HEADING = re.compile(r"(?i)^(?:(?:I{1,3}|IV|V|VI{0,3}|IX|X)\.|\d{1,2}\.|\d{1,2}\.\d{1,2}\.?)\s")
 _FOOTER = re.compile(r"(?im)^\s*(?:trang|page)\s*\d+.*$")
 _WRAP = re.compile(r"(?<!\n)\n(?!\n)")
@@ -30,6 +31,26 @@ def words_of(text: str) -> int:
     return len(text.split())
 
 
+def subwords_of(path: str) -> Callable[[str], int]:
+    """A counter by a tokenizers file, loaded once in each worker; where the library or the file is missing, words are counted."""
+
+    def count(text: str) -> int:
+        if path not in _tokenizers:
+            try:
+                from tokenizers import Tokenizer
+
+                _tokenizers[path] = Tokenizer.from_file(path)
+            except Exception:
+                _tokenizers[path] = None
+        tok = _tokenizers[path]
+        return words_of(text) if tok is None else len(tok.encode(text, add_special_tokens=False).ids)
+
+    return count
+
+
+_tokenizers: dict = {}
+
+
 class Tray:
     """What is being packed: texts and their tokens, up to a limit."""
 
@@ -107,10 +128,12 @@ def chunk_column(text: Column, heading: Column, limit: int = T.MAX_TOKENS, count
     return run(text, heading)
 
 
-def split_column(text: Column, limit: int = T.MAX_TOKENS) -> Column:
+def split_column(text: Column, limit: int = T.MAX_TOKENS, count: Callable[[str], int] = words_of) -> Column:
+    """The pieces of a text of one paragraph; of a null, none. `count` may be a subword tokenizer's."""
+
     @F.pandas_udf("array<struct<text:string,token_count:int>>")
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"text": t, "token_count": n} for t, n in split_to_limit(x or "", limit)] for x in texts])
+        return pd.Series([[{"text": t, "token_count": n} for t, n in split_to_limit(x or "", limit, count)] for x in texts])
 
     return run(text)
 
@@ -130,9 +153,15 @@ def pack_native(parts: Column, limit: int = T.MAX_TOKENS) -> Column:
     return F.aggregate(parts, empty, step, lambda a: F.when(a.text == "", a.out).otherwise(F.concat(a.out, F.array(F.struct(a.text.alias("text"), a.n.alias("n"))))))
 
 
+def heading_rows(rows: DataFrame, key: str, order: str, text_col: str, default: str = T.DEFAULT_HEADING) -> DataFrame:
+    """rows with the heading that each paragraph stands under (its own text, if it is one) and whether it is one."""
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("is_heading", T.is_heading(F.col(text_col)))
+    return rows.withColumn("heading", F.coalesce(F.last(F.when(F.col("is_heading"), F.col(text_col)), ignorenulls=True).over(w), F.lit(default)))
+
+
 def chunk_rows(docs: DataFrame, text_col: str, heading: Column | None = None, limit: int = T.MAX_TOKENS) -> DataFrame:
     """docs with a row for each chunk, in order: chunk_pos, heading, text, token_count; narrow, without a shuffle."""
     heading = F.lit(T.DEFAULT_HEADING) if heading is None else heading
-    rows = docs.withColumn("_chunks", chunk_column(F.col(text_col), heading, limit))
     keep = [c for c in docs.columns if c != text_col]
-    return rows.select(*keep, F.posexplode("_chunks").alias("chunk_pos", "_c")).select(*keep, "chunk_pos", F.col("_c.heading").alias("heading_context"), F.col("_c.text").alias("filtered_chunk_text"), F.col("_c.token_count").alias("token_count"))
+    return docs.select(*keep, F.posexplode(chunk_column(F.col(text_col), heading, limit)).alias("chunk_pos", "_c")).select(*keep, "chunk_pos", F.col("_c.heading").alias("heading_context"), F.col("_c.text").alias("filtered_chunk_text"), F.col("_c.token_count").alias("token_count"))

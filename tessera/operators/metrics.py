@@ -27,6 +27,11 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+def counters(rows: DataFrame, outcome: str, kinds: dict[str, str]) -> DataFrame:
+    """One row: how many rows have each kind of outcome (name -> value), and how many there are."""
+    return rows.agg(*(F.count_if(F.col(outcome) == v).alias(k) for k, v in kinds.items()), F.count("*").alias("total"))
+
+
 def failure_percent(failed: Column, total: Column) -> Column:
     return ratio(100 * failed, total)
 

@@ -5,27 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The line items, and the catalogue of factor inputs (group, field, source, purpose).
+# The line items.
 OPERATING_PROFIT, TOTAL_ASSETS = "Operating profit/(loss)", "Total Assets"
-FIELDS = [
-    ("accounting_yearly", "operating_profit", "income statement", "profitability (RMW)"),
-    ("accounting_yearly", "total_assets", "balance sheet", "asset growth (CMA)"),
-    ("trading_monthly", "adj_close", "price bars", "monthly return"),
-    ("trading_monthly", "shares_outstanding", "company overview", "shares outstanding"),
-    ("trading_monthly", "market_equity", "close x shares", "size (SMB)"),
-    ("macro_monthly", "interest_rate", "external", "risk-free rate"),
-]
 
 
 def line_item(statement: DataFrame, item: str, value: str, key: str = "symbol", order: str | None = None) -> DataFrame:
-    """(key, year, value) from a wide statement (key, item_en, one column a year): the first row of the item, unpivoted; cells that aren't numbers are left out."""
+    """(key, year, value) from a wide statement (key, item_en, one column a year): the first row of the item (by order, or as the rows come), unpivoted; cells that aren't numbers are left out."""
     years = [c for c in statement.columns if c.isdigit()]
-    rows = statement.filter(F.trim(F.lower("item_en")) == item.lower())
-    if order:
-        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter("_n = 1")
-    rows = rows.select(key, *(F.col(f"`{y}`").cast("string").alias(y) for y in years))
     if not years:
-        return rows.select(key, F.lit(0).alias("year"), F.lit(0.0).alias(value)).filter("false")
+        return statement.select(key, F.lit(0).alias("year"), F.lit(0.0).alias(value)).filter("false")
+    place = F.col(order) if order else F.monotonically_increasing_id()
+    rows = statement.withColumn("_place", place).filter(F.trim(F.lower("item_en")) == item.lower())
+    rows = rows.groupBy(key).agg(F.min_by(F.struct(*(F.col(f"`{y}`").cast("string").alias(y) for y in years)), "_place").alias("_row"))
+    rows = rows.select(key, *(F.col(f"_row.`{y}`").alias(y) for y in years))
     long = rows.unpivot(key, years, "year", "_cell")
     return long.select(key, F.col("year").cast("int").alias("year"), F.col("_cell").try_cast("double").alias(value)).filter(F.col(value).isNotNull())
 
@@ -66,7 +58,9 @@ def monthly_bars(ticks: DataFrame, key: str, time: str, price: str, volume: str
 
 def shares(overview: DataFrame, key: str = "symbol") -> DataFrame:
     """(key, shares): the first overview row's issue_share as a number, or null."""
-    return overview.groupBy(key).agg(F.min(F.col("issue_share").cast("string").try_cast("double")).alias("shares"))
+    own = F.struct(F.col("issue_share").cast("string").try_cast("double").alias("shares"))
+    rows = overview.select(key, own.alias("_own"), F.monotonically_increasing_id().alias("_place"))
+    return rows.groupBy(key).agg(F.min_by("_own", "_place").alias("_own")).select(key, "_own.shares")
 
 
 def market_equity(bars: DataFrame, share_rows: DataFrame, key: str = "symbol") -> DataFrame:

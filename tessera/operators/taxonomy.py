@@ -13,6 +13,8 @@ from tessera.functions import text as T
 # Environmental categories come first, then social, then governance ones, then others.
 ORDER = "ESG"
 THRESHOLD = 2
+#: Entries of a dictionary table that are matched in one pass over the rows.
+BLOCK = 1000
 
 
 class Keyword(NamedTuple):
@@ -73,20 +75,18 @@ def tags(normal: Column, words: list[Keyword], threshold: int = THRESHOLD) -> Co
 
 
 def tagged(rows: DataFrame, text_col: str, words: list[Keyword], threshold: int = THRESHOLD, out: str = "matched_tags") -> DataFrame:
-    """rows that have a tag, with their tags; the text is folded once a row."""
-    return rows.withColumn("_normal", T.normal(F.col(text_col))).withColumn(out, tags(F.col("_normal"), words, threshold)).drop("_normal").filter(F.size(out) > 0)
+    """rows that have a tag, with their tags; the text is folded, and the tags are found, once a row (the generator keeps the filter from repeating either)."""
+    return rows.withColumn(out, F.explode(F.transform(F.array(T.normal(F.col(text_col))), lambda n: tags(n, words, threshold)))).filter(F.size(out) > 0)
 
 
 def joined_scores(rows: DataFrame, id_cols: list[str], text_col: str, dictionary: DataFrame) -> DataFrame:
-    """The same scores for a dictionary held as a table: (ids, category, score). The dictionary is joined to each row as an array of its entries, which must fit a task."""
-    entries = dictionary.agg(F.collect_list(F.struct("category", "keyword", "weight")).alias("entries"))
-    folded = rows.select(*id_cols, T.normal(F.col(text_col)).alias("_n")).crossJoin(F.broadcast(entries)) if _small(dictionary) else None
-    if folded is None:
-        raise ValueError("a dictionary of over 100,000 entries: load it in parts")
-    e = folded.select(*id_cols, "_n", F.explode("entries").alias("e"))
-    hits = ((F.length("_n") - F.length(F.replace("_n", F.col("e.keyword"), F.lit("")))) / F.length("e.keyword")).cast("int")
-    return e.select(*id_cols, F.col("e.category").alias("category"), (hits * F.col("e.weight")).alias("s")).filter("s > 0").groupBy(*id_cols, "category").agg(F.sum("s").alias("score"))
-
-
-def _small(dictionary: DataFrame, most: int = 100_000) -> bool:
-    return dictionary.limit(most + 1).count() <= most
+    """The same scores for a dictionary held as a table: (ids, category, score). A dictionary of any size is taken in blocks of BLOCK entries, each a literal array that every row is held against."""
+    entries, out = sorted(map(tuple, dictionary.select("category", "keyword", "weight").toLocalIterator()), key=str), None
+    folded = rows.select(*id_cols, F.explode(F.array(T.normal(F.col(text_col)))).alias("_n"))
+    for at in range(0, max(1, len(entries)), BLOCK):
+        block = F.array(*(F.struct(F.lit(c).alias("category"), F.lit(k).alias("keyword"), F.lit(w).alias("weight")) for c, k, w in entries[at : at + BLOCK])) if entries else F.expr("cast(array() as array<struct<category:string,keyword:string,weight:int>>)")
+        e = folded.select(*id_cols, "_n", F.explode(block).alias("e"))
+        hits = ((F.length("_n") - F.length(F.replace("_n", F.col("e.keyword"), F.lit("")))) / F.length("e.keyword")).cast("int")
+        part = e.select(*id_cols, F.col("e.category").alias("category"), (hits * F.col("e.weight")).alias("s")).filter("s > 0")
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy(*id_cols, "category").agg(F.sum("s").alias("score"))

@@ -25,7 +25,7 @@ def build(docs: DataFrame, words: list[taxonomy.Keyword], limit: int = T.MAX_TOK
     raw = F.when(F.coalesce("normalize_ocr", F.lit(False)), T.repair_ocr(raw)).otherwise(raw)
     texts = docs.select(*key, raw.alias("_raw"), F.coalesce("heading_context", F.lit(T.DEFAULT_HEADING)).alias("_heading"))
     texts = chunking.chunk_rows(texts, "_raw", F.col("_heading"), limit).select(*key, F.lit(0).alias("source_ord"), "chunk_pos", "heading_context", "filtered_chunk_text", "token_count", F.lit("TEXT").alias("chunk_source"))
-    rows = docs.select(*key, F.posexplode("tables").alias("_row", "_s")).withColumn("_p", chunking.split_column(F.col("_s"), limit)).select(*key, "_row", F.posexplode("_p").alias("_i", "_p"))
+    rows = docs.select(*key, F.posexplode("tables").alias("_row", "_s")).select(*key, "_row", F.posexplode(chunking.split_column(F.col("_s"), limit)).alias("_i", "_p"))
     rows = rows.select(*key, F.lit(1).alias("source_ord"), (F.col("_row") * 100_000 + F.col("_i")).alias("chunk_pos"), F.lit(TABLE_HEADING).alias("heading_context"), F.col("_p.text").alias("filtered_chunk_text"), F.col("_p.token_count").alias("token_count"), F.lit("TABLE").alias("chunk_source"))
     return taxonomy.tagged(texts.unionByName(rows), "filtered_chunk_text", words, threshold).select(*keep, "source_ord", "chunk_pos", *RECORD)
 
@@ -40,7 +40,7 @@ def process(spark: SparkSession, metadata_path: str, extracted: DataFrame, words
     """Metadata files joined with what was extracted of their documents (path, raw_text, tables), written as JSON lines; the number of records."""
     meta = landed.metadata(spark, metadata_path)
     docs = meta.join(extracted, meta.absolute_storage_path == extracted.path)
-    return write_records(build(docs, words).select(*RECORD), out)
+    return write_records(build(docs, words, keep=("path",)), out, RECORD, ("path", "source_ord", "chunk_pos"))
 
 
 def preview(text: Column, n: int = 90) -> Column:

@@ -17,9 +17,17 @@ EXTRACTED = "path string, raw_text string, tables array<string>, error string"
 
 
 def binary(spark: SparkSession, path: str, pattern: str = "*", max_bytes: int = MAX_BYTES) -> DataFrame:
-    """(path, length, content) of files up to max_bytes; larger ones are left out by their length, before they're read."""
-    rows = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return rows.filter(F.col("length") <= max_bytes).select("path", "length", "content")
+    """(path, length, content) of files up to max_bytes; larger ones are left out by their length, before they're read: see oversize()."""
+    return _landed(spark, path, pattern).filter(F.col("length") <= max_bytes).select("path", "length", "content")
+
+
+def oversize(spark: SparkSession, path: str, pattern: str = "*", max_bytes: int = MAX_BYTES) -> DataFrame:
+    """(path, error) of the files that binary() leaves out, for the rejects; their content isn't read."""
+    return _landed(spark, path, pattern).filter(F.col("length") > max_bytes).select("path", F.format_string(f"%d bytes, more than {max_bytes}", "length").alias("error"))
+
+
+def _landed(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
 
 
 def is_pdf(content: Column) -> Column:

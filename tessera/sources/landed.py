@@ -85,6 +85,15 @@ def feed(spark: SparkSession, source: str, path: str) -> DataFrame:
     return rows.select(F.lit(source).alias("source"), empty("title").alias("title"), empty("link").alias("link"), empty("pubDate").alias("published"), body.alias("body_text"))
 
 
+def united(sources: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all sources, each with the name of its own in the column source."""
+    out = None
+    for name, rows in sources.items():
+        rows = rows.withColumn("source", F.lit(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
 def feeds(spark: SparkSession, paths: dict[str, str], failed: Callable[[str, Exception], None] | None = None) -> DataFrame:
     """All feeds' items; a feed that can't be read is reported and left out."""
     out = spark.createDataFrame([], NEWS)

@@ -160,3 +160,37 @@ def test_grids_and_ocr(spark):
     assert [r.s for r in rows] == [["Name: a", "Name: b | CO2: 5", "Name: c"], []]
     words = spark.createDataFrame([(1, 1, 0, "mot", "90"), (1, 1, 1, "x", "60.9"), (1, 1, 2, "hai", "61"), (1, 1, 3, " ", "99"), (1, 2, 0, "ba", "1e2"), (1, 2, 1, "y", "abc"), (1, 2, 2, "z", None)], "doc_id int, page int, pos int, text string, conf string")
     assert tables.ocr_text(words).first().raw_text == "mot hai\nba"
+
+
+def test_new_items_keeps_one_of_ties_and_rows_without_order(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "A"), (None, "zz"), (2, "q"), (2, "q"), (None, "Q")], "n int, text string")
+    got = dedup.new_items(rows, "text", "n").select("n", F.lower("text")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "a"), (2, "q"), (None, "zz")], key=str)
+    plan = dedup.new_items(rows, "text", "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython ") <= 2  # one for each side of the join
+
+
+def test_texts_are_folded_and_chunked_once(spark):
+    docs = spark.createDataFrame([("VNM", 2023, "khí nhà kính", [], None, False)], "ticker string, fiscal_year int, raw_text string, tables array<string>, heading_context string, normalize_ocr boolean")
+    plan = taxonomy.tagged(docs, "raw_text", WORDS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("octet_length(lower(") == 1
+    plan = records.build(docs, WORDS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2  # texts and tables
+
+
+def test_links_of_any_writing(one):
+    page = '<a href=/x/report.pdf>Annual report</a> <A HREF="getfile?id=1&amp;v=2"> Annual&nbsp;<b>report</b></A><a name="x">no</a><a href=\'/open.pdf\'>open <a href="/last.pdf">last'
+    got = one(lambda p: L.anchors(F.col(p)), p=page)
+    assert [(a.href, a.label) for a in got] == [("/x/report.pdf", "Annual report"), ("getfile?id=1&v=2", "Annualreport"), ("/open.pdf", "open"), ("/last.pdf", "last")]
+
+
+def test_hosts_of_any_writing(one):
+    for url, host in (("https://ir.bao.vn/a b|c.pdf", "ir.bao.vn"), ("http://bá.vn/x", "bá.vn"), ("HTTPS://user:pw@Example.NET:8080/a@b", "example.net"), ("fpt.com.vn", "fpt.com.vn"), ("/only/path", None), ("https://x.org?u=http://y.org", "x.org")):
+        assert one(lambda u: L.hostname(F.col(u)), u=url) == host, url
+
+
+def test_first_rows_count(spark):
+    wide = spark.createDataFrame([("A", "Total Assets", "1", None), ("A", " total assets ", "5", "6"), ("B", "Other", "7", "8")], "symbol string, item_en string, `2020` string, `2021` string").coalesce(1)
+    assert [tuple(r) for r in quant.line_item(wide, quant.TOTAL_ASSETS, "v").collect()] == [("A", 2020, 1.0)]
+    own = spark.createDataFrame([("A", "9"), ("A", "1"), ("B", "n/a"), ("B", "2")], "symbol string, issue_share string").coalesce(1)
+    assert {tuple(r) for r in quant.shares(own).collect()} == {("A", 9.0), ("B", None)}

@@ -94,3 +94,22 @@ def test_rejects(spark, tmp_path):
     rows = spark.createDataFrame([(1,), (None,), (3,)], "v int")
     assert [r.v for r in sinks.split_rejects(rows, "v > 2", str(tmp_path / "dlq")).collect()] == [3]
     assert spark.read.parquet(str(tmp_path / "dlq")).count() == 2
+
+
+def test_json_lines_hold_all_fields_in_order(spark, tmp_path):
+    odd = 'a "quoted\\" text,\x01 with   ends\n# and # marks\t'
+    rows = [("VNM", 2023, i, odd if i == 2 else f" {i} ", None) for i in (3, 1, 2)]
+    out = str(tmp_path / "out")
+    frame = spark.createDataFrame(rows, "ticker string, fiscal_year int, pos int, text string, none string")
+    assert sinks.write_records(frame, out, ("ticker", "fiscal_year", "text", "none"), ("pos",)) == 3
+    (file,) = (tmp_path / "out/ticker=VNM/fiscal_year=2023").glob("*.json")
+    lines = [json.loads(x) for x in file.read_text(encoding="utf-8").split("\n") if x]
+    assert lines == [{"ticker": "VNM", "fiscal_year": 2023, "text": t, "none": None} for t in (" 1 ", odd, " 3 ")]
+
+
+def test_oversize_files_are_rejects(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"x" * 9)
+    (tmp_path / "b.bin").write_bytes(b"x" * 11)
+    assert files.binary(spark, str(tmp_path), max_bytes=10).count() == 1
+    (bad,) = files.oversize(spark, str(tmp_path), max_bytes=10).collect()
+    assert bad.path.endswith("b.bin") and "11 bytes" in bad.error
