@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm import _text as tx
 from tessera.llm import linear
@@ -102,8 +103,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     return chain, chain.fit([x.values.to_numpy() for x in column] if column is not None else [], y), y
 
 
-def _score(shared, at: int):
-    """Appends a probability for each category to the rows; the text is column `at`."""
+def _score(shared, at: int, names: list[str]):
+    """Appends a probability for each category to the rows, in columns of these names; the text is column `at`."""
 
     def run(batches):
         wanted, models = shared.value
@@ -116,15 +117,21 @@ def _score(shared, at: int):
                     z = np.bincount(row, weights=table[cell], minlength=hi - lo) + before @ chain + bias
                     before = np.column_stack((before, linear.sigmoid(z)))
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(before[:, k]) for k in range(before.shape[1]))], [*batch.schema.names, *(f"_p{k}" for k in range(before.shape[1]))])
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(before[:, k]) for k in range(before.shape[1]))], [*batch.schema.names, *names])
 
     return tx.released(run)
 
 
-def _scored(docs: DataFrame, chain: Chain, text_col: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(chain.packed())
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), *(f"_p{k} double" for k in range(len(chain.names)))])
-    return docs.mapInArrow(_score(shared, docs.columns.index(text_col)), fields)
+def _scored(docs: DataFrame, chain: Chain, text_col: str) -> tuple[DataFrame, list[str]]:
+    """docs with a probability for each category, and the names of those columns, which docs doesn't have."""
+    shared, taken = docs.sparkSession.sparkContext.broadcast(chain.packed()), {c.lower() for c in docs.columns}
+    names = []
+    for k in range(len(chain.names)):
+        names.append(f"_p{k}")
+        while names[-1] in taken:
+            names[-1] = "_" + names[-1]
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
+    return docs.mapInArrow(_score(shared, docs.columns.index(text_col), names), schema), names
 
 
 def _cut(chain: Chain, reject: str, threshold: float | None) -> float:
@@ -139,11 +146,12 @@ def score(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject
     all labelled rows gets that answer everywhere. Columns other than the id and the text are ignored.
     """
     chain, _, _ = train(docs, labels, categories, id_col, text_col, label_id, sample)
-    out = _scored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), chain, "text")
-    return out.select("doc_id", *(F.col(f"_p{k}").alias(f"p_{c}") for k, c in enumerate(chain.names)), (F.col(f"_p{chain.names.index(reject)}") >= _cut(chain, reject, threshold)).alias("rejected"))
+    out, names = _scored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), chain, "text")
+    return out.select("doc_id", *(F.col(n).alias(f"p_{c}") for n, c in zip(names, chain.names, strict=True)), (F.col(names[chain.names.index(reject)]) >= _cut(chain, reject, threshold)).alias("rejected"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float | None = None, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """docs, with all columns, without the documents that score() rejects."""
+    """docs, with all columns whatever their names, without the documents that score() rejects; null texts and ids, and repeated rows, are scored like any other."""
     chain, _, _ = train(docs, labels, categories, id_col, text_col, "doc_id", sample)
-    return _scored(docs, chain, text_col).filter(F.col(f"_p{chain.names.index(reject)}") < _cut(chain, reject, threshold)).select(*docs.columns)
+    out, names = _scored(docs, chain, text_col)
+    return out.filter(F.col(names[chain.names.index(reject)]) < _cut(chain, reject, threshold)).select(*(F.col(f"`{c}`") for c in docs.columns))
