@@ -1,4 +1,9 @@
-"""The corpus pipeline: five stages from raw documents to token ids, each over all that the one before kept."""
+"""The corpus pipeline: five stages from raw documents to token ids, each over all that the one before kept.
+
+In every stage a null or empty text is a document without words, which is kept and left as it is; a row with a null id is
+kept, and is no copy of any other; rows that repeat an id and a text are one document, and stay or go together; an empty
+table gives an empty one; all columns but the text and n_chars pass through, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -12,12 +17,12 @@ from tessera.llm.queries import CATEGORIES
 
 
 def _measured(docs: DataFrame) -> DataFrame:
-    """docs, with n_chars as the texts are now."""
-    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """docs, with n_chars, if they have it, as the texts are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the chain rejects."""
+    """Without the documents that the chain rejects; without labelled documents none is."""
     return toxicity.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), CATEGORIES, "toxic")
 
 
@@ -28,8 +33,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near copies (shingles of five words, 0.8 or more)."""
-    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
