@@ -1,10 +1,11 @@
 """Document quality by co-training.
 
 Two views of a document, its text (telling words and the make-up of its characters) and its page metadata (source,
-language, length and layout), each get a linear classifier. Over some rounds each view labels the unlabelled sample,
-and what it is surest of joins the other view's training rows. Each view is then calibrated on out-of-fold predictions
-of the labelled rows, and a last linear model combines the calibrated views to score all documents. Both samples are
-bounded (SAMPLE rows each, drawn by a hash of the ids); everything that is broadcast has a fixed size.
+language, length and layout), each get a linear classifier. Over some rounds each view labels all unlabelled documents,
+and those it is surest of join the other view's training rows. Each view is then calibrated on out-of-fold predictions
+of the labelled rows, and a last linear model combines the calibrated views to score all documents. The labelled rows
+are bounded (SAMPLE, drawn by a hash of the ids), and so is what a view hands over a round (HANDED, the surest of all);
+everything that is broadcast has a fixed size.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm import _text as tx
 from tessera.llm import linear
+from tessera.llm._spark import cut
 
-#: Labelled and unlabelled rows to fit on, rounds, share of the unlabelled rows that a view hands over a round, folds, cells.
-SAMPLE, ROUNDS, SHARE, FOLDS, MOST_CELLS = 6_000, 3, 0.05, 4, 1024
+#: Labelled rows to fit on, rounds, documents that a view hands over a round, folds, cells.
+SAMPLE, ROUNDS, HANDED, FOLDS, MOST_CELLS = 6_000, 3, 300, 4, 1024
 #: Cells of the hashed metadata values.
 META = 1 << 12
 
@@ -67,59 +69,65 @@ def _featured(batches):
 
 
 class Views:
-    """A model of each view, its calibration, and what combines them."""
+    """A model of each view, its calibration, and what combines them.
+
+    Fitted on labelled rows; `hand` gives a view rows that the other has labelled, `finish` calibrates and combines.
+    """
 
     def __init__(self, cells: list[np.ndarray], shape: np.ndarray, meta: list[np.ndarray], y: np.ndarray):
-        """y: 1, 0, or -1 where it isn't known."""
-        known, free = np.flatnonzero(y >= 0), np.flatnonzero(y < 0)
-        self.rate = float(y[known].mean()) if len(known) else 1.0
-        self.constant = not len(known) or y[known].min() == y[known].max()
+        self.known = y.astype(float)
+        self.rate = float(y.mean()) if len(y) else 1.0
+        self.constant = not len(y) or y.min() == y.max()
+        self.handed = [0, 0]
         if self.constant:
             return
-        self.mean, self.sd = shape[known].mean(0), shape[known].std(0) + 1e-6
-        self.keep = linear.telling(linear.Sparse([cells[i] for i in known]), y[known].astype(float), MOST_CELLS)
-        place = np.full(linear.CELLS, -1)
-        place[self.keep] = np.arange(len(self.keep))
-        x = [linear.Sparse([place[c][place[c] >= 0] for c in cells]), linear.Sparse(meta)]
-        d = [(shape - self.mean) / self.sd, np.zeros((len(y), 0))]
-        n = [len(self.keep), META]
-
-        def model(v, rows, labels, weight=None):
-            return linear.fit(x[v].take(rows), d[v][rows], labels, n[v], rounds=40, weight=weight)
-
-        def logit(v, m, rows):
-            return x[v].take(rows).dot(m[0]) + d[v][rows] @ m[1][:-1] + m[1][-1]
-
-        rows, labels = [known, known], [y[known].astype(float)] * 2
-        self.handed = [0, 0]
-        for _ in range(ROUNDS):
-            models = [model(v, rows[v], labels[v]) for v in (0, 1)]
-            given = []
-            for v in (0, 1):
-                left = np.setdiff1d(free, rows[1 - v])
-                p = linear.sigmoid(logit(v, models[v], left)) if len(left) else np.zeros(0)
-                k = int(SHARE * len(free))
-                high, low = int(k * self.rate), k - int(k * self.rate)  # as many of each label as the labelled rows have
-                by = np.argsort(p, kind="stable")
-                pick = np.unique(np.concatenate((by[:low][p[by[:low]] < 0.1], by[::-1][:high][p[by[::-1][:high]] > 0.9])).astype(np.int64))
-                given.append((left[pick], (p[pick] > 0.5).astype(float)))
-            for v, (more, as_) in zip((1, 0), given, strict=True):  # each view's surest go to the other
-                rows[v], labels[v] = np.concatenate((rows[v], more)), np.concatenate((labels[v], as_))
-                self.handed[v] += len(more)
-        self.models = [model(v, rows[v], labels[v]) for v in (0, 1)]
-        fold = np.arange(len(known)) % FOLDS
-        oof = np.zeros((len(known), 2))
+        self.mean, self.sd = shape.mean(0), shape.std(0) + 1e-6
+        self.keep = linear.telling(linear.Sparse(cells), self.known, MOST_CELLS)
+        self.place = np.full(linear.CELLS, -1)
+        self.place[self.keep] = np.arange(len(self.keep))
+        self.lists, self.dense = [[], []], [np.zeros((0, shape.shape[1])), np.zeros((0, 0))]
+        self.rows, self.labels = [np.zeros(0, np.int64)] * 2, [np.zeros(0)] * 2
+        self.scale, self.mix = [np.array([1.0, 0.0])] * 2, np.array([0.5, 0.5, 0.0])
+        at = self._append(cells, shape, meta)
+        self.rows, self.labels = [at, at], [self.known, self.known]
+        self.fit()
+
+    def _append(self, cells, shape, meta) -> np.ndarray:
+        n = len(self.lists[0])
+        self.lists[0] += [self.place[c][self.place[c] >= 0] for c in cells]
+        self.lists[1] += list(meta)
+        self.dense = [np.concatenate((self.dense[0], (shape - self.mean) / self.sd)), np.zeros((n + len(cells), 0))]
+        self.x = [linear.Sparse(v) for v in self.lists]
+        return np.arange(n, n + len(cells))
+
+    def hand(self, v: int, cells, shape, meta, labels: np.ndarray) -> None:
+        """View v learns from more rows, as the other view has labelled them."""
+        at = self._append(cells, shape, meta)
+        self.rows[v], self.labels[v] = np.concatenate((self.rows[v], at)), np.concatenate((self.labels[v], labels))
+        self.handed[v] += len(at)
+
+    def _model(self, v: int, rows: np.ndarray, labels: np.ndarray):
+        return linear.fit(self.x[v].take(rows), self.dense[v][rows], labels, (len(self.keep), META)[v], rounds=40)
+
+    def _logit(self, v: int, m, rows: np.ndarray) -> np.ndarray:
+        return self.x[v].take(rows).dot(m[0]) + self.dense[v][rows] @ m[1][:-1] + m[1][-1]
+
+    def fit(self) -> None:
+        self.models = [self._model(v, self.rows[v], self.labels[v]) for v in (0, 1)]
+
+    def finish(self) -> None:
+        n = len(self.known)
+        fold, oof = np.arange(n) % FOLDS, np.zeros((n, 2))
         for f in range(FOLDS):
-            out = fold == f
+            out = np.flatnonzero(fold == f)
             for v in (0, 1):
-                extra = rows[v][len(known) :]
-                part = model(v, np.concatenate((known[~out], extra)), np.concatenate((y[known][~out], labels[v][len(known) :])))
-                oof[out, v] = logit(v, part, known[out])
-        none = linear.Sparse([np.zeros(0, np.int64)] * len(known))
-        self.scale = [linear.fit(none, np.clip(oof[:, [v]], -30, 30), y[known].astype(float), 0, ridge=1e-3)[1] for v in (0, 1)]
+                rest = np.concatenate((fold != f, np.ones(len(self.rows[v]) - n, bool)))
+                oof[out, v] = self._logit(v, self._model(v, self.rows[v][rest], self.labels[v][rest]), out)
+        none = linear.Sparse([np.zeros(0, np.int64)] * n)
+        self.scale = [linear.fit(none, np.clip(oof[:, [v]], -30, 30), self.known, 0, ridge=1e-3)[1] for v in (0, 1)]
         both = np.column_stack([self.calibrated(v, oof[:, v]) for v in (0, 1)])
-        self.mix = linear.fit(none, both, y[known].astype(float), 0, ridge=1e-3)[1]
-        self.oof, self.known = linear.sigmoid(both @ self.mix[:-1] + self.mix[-1]), y[known]
+        self.mix = linear.fit(none, both, self.known, 0, ridge=1e-3)[1]
+        self.oof = linear.sigmoid(both @ self.mix[:-1] + self.mix[-1])
 
     def calibrated(self, v: int, z: np.ndarray) -> np.ndarray:
         """Calibrated log-odds of a view."""
@@ -154,20 +162,56 @@ def _score(shared):
     return tx.released(run)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ("source", "lang"), label_id: str = "doc_id", sample: int = SAMPLE) -> Views:
-    """The two views, from at most `sample` labelled documents (label: SQL over the label table) and as many others; nulls in labels count as unlabelled."""
-    ids = docs.select(F.col(id_col).alias("id")).dropna().distinct()
+def _named(docs: DataFrame, id_col: str, text_col: str, meta_cols: tuple[str, ...]) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).cast("string").alias(f"m{i}") for i, c in enumerate(meta_cols)))
+
+
+def _features(rows: DataFrame, of: DataFrame) -> tuple:
+    """Labels, cells, shapes and metadata of the documents in `of` (of, label), a bounded frame; of rows that share an id, the least."""
+    rest = [c for c in rows.columns if c != "doc_id"]
+    rows = rows.join(of, F.col("doc_id") == F.col("of")).groupBy("of", "label").agg(F.min(F.struct(*rest)).alias("s")).select("s.text", F.col("of").alias("id"), "label", *(f"s.{m}" for m in rest[1:]))
+    got = rows.mapInArrow(_featured, f"id {rows.schema['id'].dataType.simpleString()}, label int, cells array<int>, shape array<double>, meta array<int>").toArrow().sort_by("id")
+    cells, shape, meta = ([x.values.to_numpy() for x in got.column(c).combine_chunks()] if len(got) else [] for c in ("cells", "shape", "meta"))
+    return got.column("label").to_numpy(), cells, np.array(shape).reshape(len(got), 7), [x.astype(np.int64) for x in meta]
+
+
+def _scored(rows: DataFrame, views: Views) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(views.packed())
+    return rows.mapInArrow(_score(shared), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, p_text double, p_metadata double, p_quality double")
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ("source", "lang"), label_id: str = "doc_id", sample: int = SAMPLE, handed: int = HANDED) -> Views:
+    """The two views, from at most `sample` labelled documents (label: SQL over the label table) and all others; nulls in labels count as unlabelled.
+
+    In each round both views score every unlabelled document, and the `handed` ones of which a view is surest, of all
+    there are, go to the other.
+    """
+    rows = _named(docs, id_col, text_col, meta_cols)
     own = labels.select(F.col(label_id).alias("of"), F.expr(label).cast("int").alias("label")).dropna().groupBy("of").agg(F.max("label").alias("label"))
-    known = linear.sample(ids.join(own, F.col("id") == F.col("of")).select("id", "label"), "id", sample)
-    free = linear.sample(ids.join(own, F.col("id") == F.col("of"), "left_anti"), "id", sample).select("id", F.lit(-1).alias("label"))
-    both = known.unionByName(free).select(F.col("id").alias("of"), "label")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).cast("string").alias(f"m{i}") for i, c in enumerate(meta_cols)))
-    metas = [f"m{i}" for i in range(len(meta_cols))]
-    rows = texts.join(both, F.col("id") == F.col("of")).groupBy("id", "label").agg(F.min(F.struct("text", *metas)).alias("s")).select("s.text", "id", "label", *(f"s.{m}" for m in metas))
-    kind = docs.schema[id_col].dataType.simpleString()
-    got = rows.mapInArrow(_featured, f"id {kind}, label int, cells array<int>, shape array<double>, meta array<int>").toArrow().sort_by("id")
-    lists = {c: [x.values.to_numpy() for x in got.column(c).combine_chunks()] if len(got) else [] for c in ("cells", "shape", "meta")}
-    return Views(lists["cells"], np.array(lists["shape"]).reshape(len(got), 7), [x.astype(np.int64) for x in lists["meta"]], got.column("label").to_numpy())
+    ids = rows.select("doc_id").dropna().distinct()
+    known = linear.sample(own.join(ids, F.col("of") == F.col("doc_id"), "left_semi"), "of", sample)
+    y, *parts = _features(rows, known)
+    views = Views(*parts, y)
+    if views.constant:
+        return views
+    given: list = []  # ids that a view has been given, at most ROUNDS times twice `handed`
+    for _ in range(ROUNDS):
+        pool = _scored(rows, views).join(own, F.col("doc_id") == F.col("of"), "left_anti").filter(F.col("doc_id").isNotNull())
+        pool = cut(pool.groupBy("doc_id").agg(F.min("p_text").alias("p_0"), F.min("p_metadata").alias("p_1")))
+        left = pool.filter(~F.col("doc_id").isin(given)) if given else pool
+        high = round(handed * views.rate)  # as many of each label as the labelled rows have
+        for v in (0, 1):
+            p = f"p_{v}"
+            sure = [(r.doc_id, 1) for r in left.filter(f"{p} > 0.9").orderBy(F.desc(p), "doc_id").limit(high).collect()]
+            sure += [(r.doc_id, 0) for r in left.filter(f"{p} < 0.1").orderBy(p, "doc_id").limit(handed - high).collect()]
+            if sure:
+                given += [i for i, _ in sure]
+                picked = rows.sparkSession.createDataFrame(sure, f"of {rows.schema['doc_id'].dataType.simpleString()}, label int")
+                as_, *parts = _features(rows, F.broadcast(picked))  # `handed` rows at most
+                views.hand(1 - v, *parts, as_.astype(float))
+        views.fit()
+    views.finish()
+    return views
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", meta_cols: tuple[str, ...] = ("source", "lang"), label_id: str = "doc_id", threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
@@ -177,7 +221,5 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
     Without labelled rows of both kinds every document gets the rate of the one kind (1 without labels at all).
     Columns other than those named are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, id_col, text_col, meta_cols, label_id, sample).packed())
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).cast("string").alias(f"m{i}") for i, c in enumerate(meta_cols)))
-    out = rows.mapInArrow(_score(shared), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, p_text double, p_metadata double, p_quality double")
+    out = _scored(_named(docs, id_col, text_col, meta_cols), train(docs, labels, label, id_col, text_col, meta_cols, label_id, sample))
     return out.withColumn("kept", F.col("p_quality") >= threshold)
