@@ -6,8 +6,9 @@ that occurs in some item. A window is `window` consecutive words of an item, or
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
+from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from tessera.llm import _text as tx
 from tessera.llm._spark import cut
 
-#: Bytes of item text in one automaton; a larger benchmark is taken in several blocks, each a pass over the documents.
-BLOCK_BYTES = 8 << 20
+U = np.uint64
+#: Bytes of item text in one automaton, which the driver builds from dictionaries (some 600 bytes a word) and packs into arrays (some 60); automata that a pass over the documents holds at once. A larger benchmark takes several passes.
+BLOCK_BYTES, GROUP = 2 << 20, 4
 
 
 class Automaton:
@@ -33,30 +35,51 @@ class Automaton:
             last = 0
             for w in words.tolist():
                 last = self._extend(last, w)
-        #: state -> items of the full windows and (by length) of the short items whose words it stands for
-        self.full: dict[int, list[int]] = defaultdict(list)
-        short: dict[int, dict[int, list[int]]] = defaultdict(dict)
+        # States of full windows, and of short items by length, with their items.
+        full, short = defaultdict(list), defaultdict(lambda: defaultdict(list))
         pairs, singles = set(), set()
         for k, (_, words) in enumerate(items):
             words = words.tolist()
             singles.update(words)
             pairs.update(zip(words, words[1:], strict=False))
             if len(words) >= window:
-                for s, _ in self._walk(words):
-                    if s is not None and (not self.full[s] or self.full[s][-1] != k):
-                        self.full[s].append(k)
+                for s in self._windows(words):
+                    if not full[s] or full[s][-1] != k:
+                        full[s].append(k)
             elif words:
                 s = 0
                 for w in words:
                     s = self.next[s][w]
-                short[s].setdefault(len(words), []).append(k)
+                short[s][len(words)].append(k)
         self.least = min([min(len(w), window) for _, w in items if len(w)], default=0)
-        # The short items that end at a state or at one of its suffixes, longest first.
-        self.short: list[list[tuple[int, list[int]]]] = [[] for _ in self.next]
-        for s in sorted(range(1, len(self.next)), key=self.length.__getitem__):
-            self.short[s] = sorted(short.get(s, {}).items(), reverse=True) + self.short[self.link[s]]
-        self.words = np.sort(np.array(sorted(singles), np.uint64)) if singles else np.zeros(0, np.uint64)
-        self.pairs = np.sort(_pair(np.array([p for p, _ in pairs], np.uint64), np.array([q for _, q in pairs], np.uint64)))
+        self.words = np.sort(np.array(sorted(singles), U)) if singles else np.zeros(0, U)
+        self.pairs = np.sort(_pair(np.array([p for p, _ in pairs], U), np.array([q for _, q in pairs], U)))
+        self._pack(full, short)
+
+    def _pack(self, full, short) -> None:
+        """Arrays instead of dictionaries: transitions by state and word, items by state, and for each state the nearest one on its chain of suffixes where short items end."""
+        n = len(self.next)
+        state = np.repeat(np.arange(n), [len(x) for x in self.next])
+        word = np.fromiter((w for x in self.next for w in x), U, len(state))
+        to = np.fromiter((t for x in self.next for t in x.values()), np.int32, len(state))
+        del self.next
+        key = _step(state.astype(U), word)
+        by = np.argsort(key)
+        self.keys, self.to = key[by], to[by]
+        self.link, self.length = np.array(self.link, np.int32), np.array(self.length, np.int32)
+        self.ends = np.array(sorted(full), np.int32)  # states of full windows, and where each one's items begin
+        self.at = np.concatenate(([0], np.cumsum([len(full[s]) for s in self.ends.tolist()]))).astype(np.int32)
+        self.own = np.fromiter((k for s in self.ends.tolist() for k in full[s]), np.int32, self.at[-1])
+        self.short = {s: [(size, np.array(x, np.int32)) for size, x in sorted(own.items())] for s, own in short.items()}
+        self.near = np.full(n, -1, np.int32)
+        for s in np.argsort(self.length, kind="stable").tolist():
+            self.near[s] = s if s in self.short else self.near[self.link[s]] if s else -1
+
+    def _go(self, s: int, w: int) -> int:
+        """The state after a word, or -1."""
+        key = _step(np.array([s], U), np.array([w], U))[0]
+        at = int(np.searchsorted(self.keys, key))
+        return int(self.to[at]) if at < len(self.keys) and self.keys[at] == key else -1
 
     def _extend(self, last: int, w: int) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -87,22 +110,33 @@ class Automaton:
             p = self.link[p]
         return c
 
+    def _windows(self, words: list[int]):
+        """While building: the state of each full window of an item."""
+        s, nxt, link, length, window = 0, self.next, self.link, self.length, self.window
+        for i, w in enumerate(words):
+            s = nxt[s][w]
+            if i + 1 >= window:
+                while length[link[s]] >= window:
+                    s = link[s]
+                yield s
+
     def _walk(self, words: list[int]):
         """For each word read: the state of the last full window (or None), and the state and length of the longest match."""
         s, n = 0, 0
-        nxt, link, length, window = self.next, self.link, self.length, self.window
+        link, length, window = self.link, self.length, self.window
         for w in words:
-            while s and w not in nxt[s]:
-                s = link[s]
-                n = length[s]
-            if w in nxt[s]:
-                s = nxt[s][w]
-                n += 1
+            t = self._go(s, w)
+            while s and t < 0:
+                s = int(link[s])
+                n = int(length[s])
+                t = self._go(s, w)
+            if t >= 0:
+                s, n = t, n + 1
             at = None
             if n >= window:
                 at = s
                 while length[link[at]] >= window:
-                    at = link[at]
+                    at = int(link[at])
             yield at, (s, n)
 
     def hits(self, words: list[int]) -> tuple[np.ndarray, set[int]]:
@@ -111,11 +145,15 @@ class Automaton:
         for i, (at, (s, n)) in enumerate(self._walk(words)):
             if at is not None:
                 hit[i + 1 - self.window : i + 1] = True
-                found.update(self.full[at])
-            for size, own in self.short[s]:
-                if size <= n:
-                    hit[i + 1 - size : i + 1] = True
-                    found.update(own)
+                k = int(np.searchsorted(self.ends, at))
+                found.update(self.own[self.at[k] : self.at[k + 1]].tolist())
+            s = int(self.near[s])
+            while s > 0:
+                for size, own in self.short[s]:
+                    if size <= n:
+                        hit[i + 1 - size : i + 1] = True
+                        found.update(own.tolist())
+                s = int(self.near[self.link[s]])
         return hit, found
 
     def scan(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, dict[int, set[int]]]:
@@ -140,6 +178,10 @@ class Automaton:
         return hit, found
 
 
+def _step(state: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return tx.mix(state * U(0x632BE59BD9B4E019) ^ word)
+
+
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return tx.mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
 
@@ -164,15 +206,20 @@ def _scan(shared, rewrite: bool):
     """Per document: words, hit words, items, hit spans in bytes, and (rewrite) the text without those spans."""
 
     def run(batches):
-        auto = shared.value
+        automata_ = shared.value
         for batch in batches:
             ids = batch.column(0)
             for lo, hi, buf, offs in tx.slices(batch.column(1)):
                 starts, ends, first, h = _words(buf, offs)
-                hit, found = auto.scan(h, first)
+                hit, found = np.zeros(len(h), bool), defaultdict(set)
+                for auto in automata_:
+                    more, own = auto.scan(h, first)
+                    hit |= more
+                    for i, ks in own.items():
+                        found[i].update(auto.items[k] for k in ks)
                 n = np.diff(first)
                 total = np.concatenate(([0], np.cumsum(hit)))
-                items = [sorted(auto.items[k] for k in found.get(i, ())) for i in range(hi - lo)]
+                items = [sorted(found.get(i, ())) for i in range(hi - lo)]
                 cuts, texts = [], []
                 for i in range(hi - lo):
                     a, b = first[i], first[i + 1]
@@ -194,19 +241,23 @@ def _scan(shared, rewrite: bool):
     return tx.released(run)
 
 
-def automata(items: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int = BLOCK_BYTES):
-    """Automata over blocks of at most block_bytes of item text (or one larger item), one in memory at a time."""
-    block, size = [], 0
+def automata(items: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int | None = None, group: int | None = None):
+    """Lists of `group` automata at most, each over block_bytes of item text at most (or one longer item); one list in memory at a time. There's always one list."""
+    block_bytes, group = block_bytes or BLOCK_BYTES, group or GROUP
+    block, size, own = [], 0, []
     rows = items.select(F.col(id_col).cast("string"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).filter(F.col(id_col).isNotNull())
     for item, text in rows.toLocalIterator():
         raw = np.frombuffer(text.encode(), np.uint8)
-        block.append((item, _words(raw, np.array([0, len(raw)]))[3]))
-        size += len(raw)
-        if size >= block_bytes:
-            yield Automaton(block, window)
+        words = _words(raw, np.array([0, len(raw)]))[3]
+        if block and size + len(raw) > block_bytes:
+            own.append(Automaton(block, window))
             block, size = [], 0
-    if block:
-        yield Automaton(block, window)
+            if len(own) == group:
+                yield own
+                own = []
+        block.append((item, words))
+        size += len(raw)
+    yield [*own, Automaton(block, window)]
 
 
 def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10) -> DataFrame:
@@ -220,17 +271,12 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = f"doc_id {kind}, n_words long, n_hit long, items array<string>, cuts array<long>"
-    sc, out, blocks = docs.sparkSession.sparkContext, None, 0
-    for auto in automata(items, item_id_col, item_text_col, window):
-        one = docs.mapInArrow(_scan(sc.broadcast(auto), False), fields)
-        blocks += 1
-        if blocks == 2:
-            docs = cut(docs.withColumn("row", F.monotonically_increasing_id()))
-            return _blocks(docs, items, kind, item_id_col, item_text_col, window)
-        out = one
-    if out is None:
-        out = docs.mapInArrow(_scan(sc.broadcast(Automaton([], window)), False), fields)
-    return _tidy(out)
+    groups = automata(items, item_id_col, item_text_col, window)
+    first, second = next(groups), next(groups, None)
+    if second is not None:
+        docs = cut(docs.withColumn("row", F.monotonically_increasing_id()))
+        return _blocks(docs, chain([first, second], groups), kind)
+    return _tidy(docs.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(first), False), fields))
 
 
 def _tidy(df: DataFrame) -> DataFrame:
@@ -238,12 +284,12 @@ def _tidy(df: DataFrame) -> DataFrame:
     return df.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"), items.alias("items"), (F.col("n_hit") > 0).alias("contaminated"), "cuts")
 
 
-def _blocks(docs: DataFrame, items: DataFrame, kind: str, item_id_col: str, item_text_col: str, window: int) -> DataFrame:
-    """The same for a benchmark of several blocks: one pass a block, whose hit spans are united for each document."""
+def _blocks(docs: DataFrame, groups: Iterable[list[Automaton]], kind: str) -> DataFrame:
+    """The same for a benchmark of several lists of automata: one pass a list, whose hit spans are united for each document."""
     sc, parts = docs.sparkSession.sparkContext, []
     fields = "doc_id long, n_words long, n_hit long, items array<string>, cuts array<long>"
-    for auto in automata(items, item_id_col, item_text_col, window):
-        parts.append(cut(docs.select("row", "text").mapInArrow(_scan(sc.broadcast(auto), False), fields).filter("n_hit > 0")))
+    for group in groups:
+        parts.append(cut(docs.select("row", "text").mapInArrow(_scan(sc.broadcast(group), False), fields).filter("n_hit > 0")))
     hits = parts[0]
     for p in parts[1:]:
         hits = hits.unionByName(p)
@@ -278,18 +324,17 @@ def remove(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     All columns are kept; texts without a hit (null ones too) stay as they are, byte for byte. Hits are those of the
     whole benchmark on the texts as they come, whether it takes one block or several.
     """
-    sc, at, out = docs.sparkSession.sparkContext, docs.columns.index(text_col), docs
-    for blocks, auto in enumerate(automata(items, item_id_col, item_text_col, window)):
-        if blocks:
-            return _rewrite_blocks(docs, items, text_col, item_id_col, item_text_col, window, max_coverage)
-        out = docs.mapInArrow(_rewrite(sc.broadcast(auto), at, max_coverage), docs.schema)
-    return out
+    groups = automata(items, item_id_col, item_text_col, window)
+    first, second = next(groups), next(groups, None)
+    if second is not None:
+        return _rewrite_blocks(docs, chain([first, second], groups), text_col, max_coverage)
+    return docs.mapInArrow(_rewrite(docs.sparkSession.sparkContext.broadcast(first), docs.columns.index(text_col), max_coverage), docs.schema)
 
 
-def _rewrite_blocks(docs: DataFrame, items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, window: int, max_coverage: float) -> DataFrame:
-    """The same for a benchmark of several blocks: hit spans are united for each row, then cut out at once."""
+def _rewrite_blocks(docs: DataFrame, groups: Iterable[list[Automaton]], text_col: str, max_coverage: float) -> DataFrame:
+    """The same for a benchmark of several lists of automata: hit spans are united for each row, then cut out at once."""
     rows = cut(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"), F.col(f"`{text_col}`").cast("string").alias("text"), F.monotonically_increasing_id().alias("row")))
-    found = _blocks(rows.select(F.col("row").alias("doc_id"), "text", "row"), items, "long", item_id_col, item_text_col, window)
+    found = _blocks(rows.select(F.col("row").alias("doc_id"), "text", "row"), groups, "long")
     hits = found.filter("n_hit > 0").select(F.col("doc_id").alias("hit_row"), "n_words", "n_hit", "cuts")
     both = rows.join(hits, F.col("row") == F.col("hit_row"), "left").filter(F.col("n_hit").isNull() | (F.col("n_hit") <= F.lit(float(max_coverage)) * F.col("n_words")))
     out = both.select("text", "cuts", "whole").mapInArrow(_without, f"text string, whole {rows.schema['whole'].dataType.simpleString()}")
@@ -327,7 +372,3 @@ def _rewrite(shared, at: int, max_coverage: float):
 
     return tx.released(run)
 
-
-def sha256_of(items: list[str]) -> str:
-    """The digest of comma-joined ids (as F.sha2(F.array_join(...), 256) makes it)."""
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

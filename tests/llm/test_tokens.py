@@ -152,3 +152,15 @@ def test_removal_with_several_blocks(spark, monkeypatch):
     real = decontaminate.automata
     monkeypatch.setattr(decontaminate, "automata", lambda *x: real(*x, block_bytes=10))
     assert read() == want
+
+
+def test_decontamination_in_several_passes(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    vocab = [f"w{i}" for i in range(12)]
+    items = spark.createDataFrame([(f"i{i}", " ".join(rng.choice(vocab, rng.integers(1, 25)))) for i in range(20)], "item_id string, text string")
+    docs = spark.createDataFrame([(i, " ".join(rng.choice([*vocab, "x", "y"], 60))) for i in range(30)], "doc_id long, text string")
+    read = lambda: (sorted(map(str, decontaminate.scan(docs, items, window=4).collect())), sorted(map(str, decontaminate.remove(docs, items, window=4, max_coverage=0.9).collect())))
+    real, want = decontaminate.automata, read()
+    monkeypatch.setattr(decontaminate, "automata", lambda *a: real(*a, block_bytes=60, group=2))
+    assert len(list(decontaminate.automata(items, "item_id", "text", 4))) > 2
+    assert read() == want
