@@ -48,3 +48,9 @@ def merged(table: DataFrame, changes: DataFrame, key: str, columns: list[str]) -
     new = changes.select(F.col(key).alias("_k"), *(F.col(c).alias(f"_{c}") for c in columns))
     both = table.join(new, F.col(key) == F.col("_k"), "full")
     return both.select(F.coalesce(key, "_k").alias(key), *(F.coalesce(f"_{c}", c).alias(c) for c in columns))
+
+
+def state_of(documents: DataFrame, doc_id: str) -> str | None:
+    """The state of one document, or None if there's no such document; the filter reaches the scan."""
+    row = documents.filter(F.col("doc_id") == doc_id).select("state").first()
+    return row.state if row else None

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import links as L
 from tessera.functions import text as T
 from tessera.operators import chunking, dedup, discovery, lifecycle, limits, metrics, quant, tables, taxonomy
-from tessera.plans import records
+from tessera.plans import records, runs
 from tessera.plans import sql
 from tessera.sources import landed
 from tessera.streaming import news
@@ -471,6 +471,62 @@ def table_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.pick(ruled, plain).select("doc_id", F.explode(tables.flatten(F.col("grid"))).alias("sentence"))
 
 
+# --- scheduled runs --------------------------------------------------------------------------------------------------
+
+_CRAWL = f"""WITH picked AS (SELECT q, {_PICK} AS found FROM ({_HITS}) GROUP BY q),
+cache AS (SELECT q, 'cached:' || q AS hit FROM picked WHERE q % 4 = 1 AND q % 60 > 14),
+r AS (SELECT 'T' || p.q AS ticker, p.q AS pos, coalesce(hit, found) AS url, hit IS NULL AND p.q % 2 = 0 AND p.q >= (SELECT max(q) FROM picked) - 6 AS halts FROM picked p LEFT JOIN cache USING (q)),
+t AS (SELECT *, CASE WHEN pos % 11 <> 5 THEN 'h' || CASE WHEN pos % 3 = 0 THEN pos // 2 * 2 ELSE pos END END AS hash FROM r WHERE pos < coalesce((SELECT min(pos) FROM r WHERE halts), 1000000000)),
+d AS (SELECT 'T' || q || '_2024' AS doc_id, CASE WHEN q % 14 = 0 THEN 'h' || (q + 1) END AS content_hash, CASE WHEN q % 21 = 0 THEN 'COMPLETED' ELSE 'PENDING' END AS state FROM picked WHERE q % 7 = 0),
+o AS (SELECT ticker, pos, url, hash, CASE WHEN url IS NULL THEN 'skipped' WHEN hash IS NULL THEN 'failed' WHEN hash IN (SELECT content_hash FROM d WHERE content_hash IS NOT NULL) OR pos > min(CASE WHEN url IS NOT NULL THEN pos END) OVER (PARTITION BY hash) THEN 'skipped' WHEN state = 'COMPLETED' THEN 'failed' ELSE 'saved' END AS outcome, state FROM t LEFT JOIN d ON d.doc_id = ticker || '_2024')"""
+
+
+def _crawl(spark: SparkSession, sf_dir: str) -> runs.Crawl:
+    hits = _hits(spark, sf_dir).withColumn("ticker", F.concat(F.lit("T"), F.col("q").cast("string"))).withColumn("year", F.lit(2024))
+    asked = hits.groupBy("ticker", "year").agg(F.min("q").alias("q"))
+    text = lambda c: F.col(c).cast("string")
+    last = asked.agg(F.max("q").alias("last"))
+    cache = asked.filter("q % 4 = 1").select("ticker", "year", F.concat(F.lit("cached:"), text("q")).alias("url"), F.expr("timestamp '2024-01-01' + make_dt_interval(cast(q % 60 as int))").alias("at"))
+    quota = asked.join(F.broadcast(last), F.lit(True)).filter("q % 2 = 0 and q >= last - 6").select("ticker", "year")
+    urls = discovery.cached_search(asked, cache, hits, F.expr("timestamp '2024-02-15'")).join(asked, ["ticker", "year"]).filter("url is not null")
+    h = F.concat(F.lit("h"), F.when(F.col("q") % 3 == 0, F.expr("q div 2 * 2")).otherwise(F.col("q")).cast("string"))
+    files = urls.select("url", h.alias("content_hash"), F.when(F.col("q") % 11 == 5, "timed out").alias("error"))
+    documents = asked.filter("q % 7 = 0").select(lifecycle.doc_key(F.col("ticker"), F.col("year")).alias("doc_id"), F.lit(None).cast("string").alias("pdf_type_flag"), F.when(F.col("q") % 14 == 0, F.concat(F.lit("h"), (F.col("q") + 1).cast("string"))).alias("content_hash"), F.lit(None).cast("string").alias("storage_path"), F.when(F.col("q") % 21 == 0, "COMPLETED").otherwise("PENDING").alias("state"))
+    return runs.crawl_reports(asked.withColumnRenamed("q", "pos"), cache, hits, quota, files, documents, F.expr("timestamp '2024-02-15'"))
+
+
+@query(_CRAWL + " SELECT ticker, pos, url, outcome FROM o")
+def crawl_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _crawl(spark, sf_dir).outcomes.select("ticker", "pos", "url", "outcome")
+
+
+@query(_CRAWL + """, s AS (SELECT *, outcome = 'saved' OR (outcome = 'failed' AND hash IS NOT NULL) AS stored FROM o)
+SELECT coalesce(d.doc_id, s.ticker || '_2024') AS doc_id, CASE WHEN stored THEN 'TEXT_BASED' END AS pdf_type_flag, CASE WHEN stored THEN s.hash ELSE d.content_hash END AS content_hash, CASE WHEN stored THEN 'reports/' || s.ticker || '/2024.pdf' END AS storage_path, CASE WHEN outcome = 'saved' THEN 'DOWNLOADED' ELSE d.state END AS state FROM d FULL JOIN (SELECT * FROM s WHERE stored) s ON d.doc_id = s.ticker || '_2024'""")
+def crawl_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _crawl(spark, sf_dir).documents
+
+
+@query(f"""WITH l AS ({_LONG}), t AS (SELECT DISTINCT symbol FROM l UNION ALL SELECT 'NEW' UNION ALL SELECT 'NONE')
+SELECT symbol, 1996 AS year, m AS metric, round(CASE m WHEN 'operating_profit' THEN op ELSE ta END, 0) AS value FROM (SELECT DISTINCT symbol FROM l) LEFT JOIN (SELECT * FROM l WHERE year = 1996) USING (symbol), (VALUES ('operating_profit'), ('total_assets')) v(m)
+UNION ALL SELECT 'NEW', 1996, 'total_assets', 2.0 UNION ALL SELECT 'counted', CAST(count(*) AS INT), 'failed', 1.0 FROM t""")
+def scan_quantitative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    income, balance = _statements(spark, sf_dir)
+    profit, assets = quant.line_item(income, quant.OPERATING_PROFIT, "operating_profit"), quant.line_item(balance, quant.TOTAL_ASSETS, "total_assets")
+    tickers = income.select("symbol").unionByName(spark.createDataFrame([("NEW",), ("NONE",)], "symbol string"))
+    fallback = spark.createDataFrame([("NEW", 1996, "total_assets", 2.0), ("NEW", 1997, "total_assets", 3.0), ("BUILDING", 1996, "total_assets", -1.0), ("GONE", 1996, "total_assets", 5.0)], "symbol string, year int, metric string, value double")
+    rows, n = runs.scan_quantitative(tickers, profit, assets, fallback, 1996)
+    counted = n.select(F.lit("counted").alias("symbol"), F.col("total").cast("int").alias("year"), F.lit("failed").alias("metric"), F.col("failed").cast("double").alias("value"))
+    return rows.withColumn("value", F.round("value", 0)).unionByName(counted)
+
+
+@query(f"WITH d AS (SELECT doc_id, lang, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS feed, {_HASH} AS h FROM documents) SELECT CASE feed WHEN 0 THEN 'rest' ELSE 'en' END AS source, doc_id, h AS content_hash FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY feed, doc_id) AS r FROM d WHERE h NOT IN (SELECT h FROM d WHERE lang = 'de')) WHERE r = 1")
+def poll_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    feeds = {"rest": d.filter("lang is distinct from 'en'"), "en": d.filter("lang = 'en'")}
+    new, _ = runs.poll_news(feeds, "text", "doc_id", dedup.hashed(d.filter("lang = 'de'"), "text"))
+    return new.select("source", "doc_id", "content_hash")
+
+
 # --- streams, drained ------------------------------------------------------------------------------------------------
 
 
