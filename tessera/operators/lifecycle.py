@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The states in their order; the error state can be entered from any, and isn't left.
@@ -23,19 +23,27 @@ def can_move(src: Column, dst: Column) -> Column:
     return F.when(dst == ERROR, True).when(src == ERROR, False).otherwise((ordinal(dst) > ordinal(src)) & (ordinal(dst) > 0))
 
 
-_START = "cast(named_struct('state', 'PENDING', 'rejects', array(), 'n', 0) as struct<state:string,rejects:array<struct<seq:bigint,src:string,dst:string>>,n:int>)"
+def steps(events: DataFrame, key: str, seq: str, state: str) -> DataFrame:
+    """(key, seq, src, dst, ok) of each event, in order of seq and then state: what it met, and whether it moved the document.
+
+    An illegal event never lies beyond the state it meets, so the state is the furthest event before, or the error state
+    once that was entered: two running maxima instead of a fold.
+    """
+    before = Window.partitionBy(key).orderBy(F.col(seq).asc_nulls_last(), F.col(state).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    furthest = F.greatest(F.max(ordinal(F.col(state))).over(before), F.lit(1)).cast("int")
+    failed = F.coalesce(F.max(F.col(state) == ERROR).over(before), F.lit(False))
+    src = F.when(failed, ERROR).otherwise(F.element_at(F.array(*map(F.lit, STATES)), furthest))
+    rows = events.select(key, F.col(seq).cast("bigint").alias("seq"), src.alias("src"), F.col(state).alias("dst"))
+    return rows.withColumn("ok", F.coalesce(can_move(F.col("src"), F.col("dst")), F.lit(False)))
 
 
 def fold(events: DataFrame, key: str, seq: str, state: str) -> DataFrame:
     """(key, state, n, rejects): the events of each document in order, through the machine; illegal ones change nothing and are listed."""
-    steps = events.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), F.col(state).alias("dst")))).alias("steps"))
-
-    def step(acc, e):
-        ok = F.coalesce(can_move(acc.state, e.dst), F.lit(False))
-        reject = F.array(F.struct(e.seq.cast("bigint").alias("seq"), acc.state.alias("src"), e.dst.alias("dst")))
-        return F.struct(F.when(ok, e.dst).otherwise(acc.state).alias("state"), F.when(ok, acc.rejects).otherwise(F.concat(acc.rejects, reject)).alias("rejects"), (acc.n + F.when(ok, 1).otherwise(0)).alias("n"))
-
-    return steps.select(key, F.aggregate("steps", F.expr(_START), step).alias("r")).select(key, "r.state", "r.n", "r.rejects")
+    furthest = F.greatest(F.max(ordinal(F.col("dst"))), F.lit(1)).cast("int")
+    now = F.when(F.coalesce(F.bool_or(F.col("dst") == ERROR), F.lit(False)), ERROR).otherwise(F.element_at(F.array(*map(F.lit, STATES)), furthest))
+    bad = F.array_sort(F.collect_list(F.when(~F.col("ok"), F.struct("seq", "dst", "src"))))
+    out = steps(events, key, seq, state).groupBy(key).agg(now.alias("state"), F.count_if("ok").cast("int").alias("n"), bad.alias("rejects"))
+    return out.select(key, "state", "n", F.transform("rejects", lambda r: F.struct(r.seq.alias("seq"), r.src.alias("src"), r.dst.alias("dst"))).alias("rejects"))
 
 
 def upserted(events: DataFrame, key: str, seq: str, columns: list[str]) -> DataFrame:

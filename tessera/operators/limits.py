@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,20 +16,37 @@ DAY = 86_400
 def windows(calls: DataFrame, key: str, time: str, tie: str, seconds: int) -> DataFrame:
     """(key, t, tie, n): each call's number within its window, refused calls included.
 
-    A window starts with the first call after the one before has ended, so its start depends on all earlier ones: a
-    fold over each key's calls in order, on arrays of times alone.
+    A window starts with the first call after the one before has ended, so its start depends on all earlier ones: each
+    key's calls pass by in order, and all that is kept of them is the window's start and count. Sorting may spill; a
+    window is found by bisection, so a long one costs no more than a short one.
     """
-    rows = calls.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(time).cast("timestamp").alias("t"), F.col(tie).alias("tie")))).alias("calls"))
-    start = F.expr("cast(named_struct('at', null, 'n', 0, 'out', array()) as struct<at:bigint,n:int,out:array<int>>)")
-
-    def step(acc, c):
-        t = F.unix_micros(c.t)
-        new = acc["at"].isNull() | (t - acc["at"] >= seconds * 1_000_000)
-        n = F.when(new, 1).otherwise(acc.n + 1)
-        return F.struct(F.when(new, t).otherwise(acc["at"]).alias("at"), n.alias("n"), F.concat(acc.out, F.array(n)).alias("out"))
-
-    folded = rows.select(key, F.arrays_zip("calls", F.aggregate("calls", start, step, lambda a: a.out).alias("n")).alias("z"))
-    return folded.select(key, F.explode("z").alias("z")).select(key, F.col("z.calls.t").alias("t"), F.col("z.calls.tie").alias("tie"), F.col("z.n").alias("n"))
+    rows = calls.select(F.col(key).alias("key"), F.unix_micros(F.col(time).cast("timestamp")).alias("us"), F.col(tie).alias("tie"))
+    rows = rows.repartition("key").sortWithinPartitions("key", "us", "tie").withColumn("group", F.xxhash64("key"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "group")
+    span = seconds * 1_000_000
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = last = start = None
+        n = 0
+        for batch in batches:
+            group, us = batch.column(3).to_numpy(), pc.fill_null(batch.column(1), -(1 << 62)).to_numpy()
+            keys, out = batch.column(0), np.zeros(len(us), np.int32)
+            cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if held is None or group[a] != held or keys[a] != last:
+                    held, last, start, n = group[a], keys[a], None, 0
+                at = a
+                while at < b:
+                    if start is None or us[at] - start >= span:
+                        start, n = int(us[at]), 0
+                    end = at + int(np.searchsorted(us[at:b], start + span, "left"))
+                    out[at:end] = n + np.arange(1, end - at + 1)
+                    n += end - at
+                    at = end
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out)], ["key", "us", "tie", "n"])
+
+    out = rows.mapInArrow(run, f"{kinds}, n int")
+    return out.select(F.col("key").alias(key), F.timestamp_micros("us").alias("t"), "tie", "n")
 
 
 def rate_limited(calls: DataFrame, key: str, time: str, tie: str, limit: int, seconds: int) -> DataFrame:

@@ -369,8 +369,8 @@ def doc_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_FOLD + " SELECT user_id, b.id AS event_id, b.src AS src, b.dst AS dst FROM (SELECT user_id, unnest(r.bad) AS b FROM f)")
 def state_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lifecycle.fold(_moves(spark, sf_dir), "user_id", "event_id", "dst").select("user_id", F.explode("rejects").alias("r"))
-    return rows.select("user_id", F.col("r.seq").alias("event_id"), F.col("r.src").alias("src"), F.col("r.dst").alias("dst"))
+    rows = lifecycle.steps(_moves(spark, sf_dir), "user_id", "event_id", "dst").filter("not ok")
+    return rows.select("user_id", F.col("seq").alias("event_id"), "src", "dst")
 
 
 @query("""WITH e AS (SELECT 'D' || (user_id % 97) || '_' || CAST(2020 + user_id % 3 AS VARCHAR) AS doc_id, event_id, CASE WHEN event_id % 3 = 0 THEN event_type END AS pdf_type_flag, CASE WHEN event_id % 5 = 0 THEN props END AS content_hash FROM events)

@@ -194,3 +194,36 @@ def test_first_rows_count(spark):
     assert [tuple(r) for r in quant.line_item(wide, quant.TOTAL_ASSETS, "v").collect()] == [("A", 2020, 1.0)]
     own = spark.createDataFrame([("A", "9"), ("A", "1"), ("B", "n/a"), ("B", "2")], "symbol string, issue_share string").coalesce(1)
     assert {tuple(r) for r in quant.shares(own).collect()} == {("A", 9.0), ("B", None)}
+
+
+def test_windows_of_long_keys(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "a", "a", "b", None, "c"]), datetime(2024, 1, 1) + timedelta(seconds=rnd.randint(0, 4000)), i) for i in range(3000)]
+    got = {r.tie: r.n for r in limits.windows(spark.createDataFrame(rows, "k string, t timestamp, i int").repartition(7), "k", "t", "i", 60).collect()}
+    want = {}
+    for key in {k for k, *_ in rows}:
+        start, n = None, 0
+        for _, t, i in sorted((r for r in rows if r[0] == key), key=lambda r: r[1:]):
+            if start is None or t - start >= timedelta(seconds=60):
+                start, n = t, 0
+            n += 1
+            want[i] = n
+    assert got == want
+    assert limits.windows(spark.createDataFrame([], "k string, t timestamp, i int"), "k", "t", "i", 60).count() == 0
+
+
+def test_steps_follow_the_machine(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = [(rnd.randint(0, 40), i, rnd.choice([*lifecycle.STATES, "ERROR", "odd", None] if i % 9 == 0 else lifecycle.STATES)) for i in range(400)]
+    want, now = {}, {}
+    for k, i, dst in rows:
+        src = now.get(k, "PENDING")
+        ok = dst == "ERROR" or (src != "ERROR" and dst in lifecycle.STATES and lifecycle.STATES.index(dst) > lifecycle.STATES.index(src))
+        want[i], now[k] = (k, src, dst, ok), dst if ok else src
+    events = spark.createDataFrame(rows, "k int, i int, s string")
+    assert {r.seq: (r.k, r.src, r.dst, r.ok) for r in lifecycle.steps(events, "k", "i", "s").collect()} == want
+    assert {r.k: r.state for r in lifecycle.fold(events, "k", "i", "s").collect()} == now
