@@ -137,7 +137,8 @@ def occurrences(x: Column, keyword: str) -> Column:
     """How often keyword (not empty) stands in x, without overlaps."""
     if not keyword:
         raise ValueError("an empty keyword")
-    return ((F.length(x) - F.length(F.replace(x, F.lit(keyword), F.lit("")))) / len(keyword)).cast("int")
+    # Bytes, which needn't be counted, instead of characters.
+    return ((F.octet_length(x) - F.octet_length(F.replace(x, F.lit(keyword), F.lit("")))) / len(keyword.encode())).cast("int")
 
 
 def error_rate(read: Column, truth: Column) -> Column:

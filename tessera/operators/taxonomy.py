@@ -86,7 +86,7 @@ def joined_scores(rows: DataFrame, id_cols: list[str], text_col: str, dictionary
     for at in range(0, max(1, len(entries)), BLOCK):
         block = F.array(*(F.struct(F.lit(c).alias("category"), F.lit(k).alias("keyword"), F.lit(w).alias("weight")) for c, k, w in entries[at : at + BLOCK])) if entries else F.expr("cast(array() as array<struct<category:string,keyword:string,weight:int>>)")
         e = folded.select(*id_cols, "_n", F.explode(block).alias("e"))
-        hits = ((F.length("_n") - F.length(F.replace("_n", F.col("e.keyword"), F.lit("")))) / F.length("e.keyword")).cast("int")
+        hits = ((F.octet_length("_n") - F.octet_length(F.replace("_n", F.col("e.keyword"), F.lit("")))) / F.octet_length("e.keyword")).cast("int")
         part = e.select(*id_cols, F.col("e.category").alias("category"), (hits * F.col("e.weight")).alias("s")).filter("s > 0")
         out = part if out is None else out.unionByName(part)
     return out.groupBy(*id_cols, "category").agg(F.sum("s").alias("score"))
