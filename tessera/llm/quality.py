@@ -25,6 +25,7 @@ from tessera.llm._spark import cut
 SAMPLE, ROUNDS, HANDED, FOLDS, MOST_CELLS = 6_000, 3, 300, 4, 1024
 #: Cells of the hashed metadata values.
 META = 1 << 12
+_SLICE = 1 << 20
 
 
 def _shape(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -62,7 +63,7 @@ def _views(buf, offs, columns, wanted=None):
 def _featured(batches):
     """(text, id, label, metadata...) -> (id, label, cells, shape, meta)"""
     for batch in batches:
-        for lo, hi, buf, offs in tx.slices(batch.column(0)):
+        for lo, hi, buf, offs in tx.slices(batch.column(0), _SLICE):
             cell, at, shape, meta = _views(buf, offs, [c.slice(lo, hi - lo).to_pylist() for c in batch.columns[3:]])
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(cell.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), lists, pa.array(list(shape), pa.list_(pa.float64())), pa.array(meta, pa.list_(pa.int32()))], ["id", "label", "cells", "shape", "meta"])
@@ -148,7 +149,7 @@ def _score(shared):
             table, meta_w, mean, sd, dense, scale, mix = model
             wanted = table != 0
         for batch in batches:
-            for lo, hi, buf, offs in tx.slices(batch.column(1)):
+            for lo, hi, buf, offs in tx.slices(batch.column(1), _SLICE):
                 if isinstance(model, float):
                     p = [np.full(hi - lo, model)] * 3
                 else:
