@@ -22,6 +22,7 @@ REACH, MOST = 3, 64
 #: Words in a run that make it a repeated passage. The chunks at a passage's two ends also hold words around it and don't repeat, which leaves well over this of any 50 words.
 MIN_WORDS = 20
 _GEAR = tx.seeds(256, 41)
+_SLICE = 2 << 20
 
 
 def gear(buf: np.ndarray) -> np.ndarray:
@@ -69,7 +70,7 @@ def chunks(buf: np.ndarray, offs: np.ndarray):
 def _digests(batches):
     """(digest, doc_id): each distinct chunk of each row."""
     for batch in batches:
-        for lo, hi, buf, offs in tx.slices(batch.column(1)):
+        for lo, hi, buf, offs in tx.slices(batch.column(1), _SLICE):
             *_, own, d = chunks(buf, offs)
             row = np.repeat(np.arange(hi - lo), np.diff(own))
             by = np.lexsort((d, row))
@@ -93,7 +94,7 @@ def _apply(min_words: int):
     def run(batches):
         for batch in batches:
             at = 0
-            for lo, hi, buf, offs in tx.slices(batch.column(1)):
+            for lo, hi, buf, offs in tx.slices(batch.column(1), _SLICE):
                 starts, ends, first, edge, own, d = chunks(buf, offs)
                 ids = batch.column(0).slice(lo, hi - lo).to_pylist()
                 lists = [batch.column(i).slice(lo, hi - lo).to_pylist() for i in (2, 3)]
