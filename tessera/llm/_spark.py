@@ -1,59 +1,13 @@
-"""Shared Spark helpers: lineage cuts in shared storage and connected components."""
+"""Shared Spark helpers: lineage cuts in shared storage, and connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import cut, drop_table, folder, shared_dir, table
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set and Spark runs in one process, as in tests."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        if not (sc.master or "").split("[")[0] == "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(found)
-    return found
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in shared storage, so that a lost executor loses none of it; the shuffle files it took are removed at once."""
-    spark = df.sparkSession
-    shared_dir(spark)
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        return df.select("*").checkpoint(eager=True)  # the setting holds for frames made under it
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
-def table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """df, written to a folder of its own in shared storage, and that folder."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    before = df.sparkSession.conf.get(_CLEANUP)
-    df.sparkSession.conf.set(_CLEANUP, "true")
-    try:
-        df.select("*").write.parquet(path)
-    finally:
-        df.sparkSession.conf.set(_CLEANUP, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def drop_table(spark: SparkSession, *paths: str) -> None:
-    """Removes folders that table() gave."""
-    for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+__all__ = ["components", "cut", "drop_table", "folder", "shared_dir", "table"]
 
 
 def _stars(e: DataFrame) -> bool:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chunkdedup, decontaminate, hilbert, linededup, minhash, pii, quality, tokenfile, toxicity
+from tessera.llm import bpe, chunkdedup, decontaminate, hilbert, linededup, minhash, pii, quality, rowmatch, tokenfile, toxicity
 
 #: The label table annotates two categories; the chain predicts them in this order.
 CATEGORIES = {"degraded": "quality = 0", "toxic": "toxic = 1"}
@@ -60,7 +60,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunkdedup.dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_hilbert, op4_minhash, op5_bpe, op6_token_files, op7_toxicity, op8_pii, op9_quality, op10_substring_dedup)}
+_NEAR_US = 5 * 60 * 1_000_000
+_KNOWN = "kind <> 'error'"
+#: A any row, D and U below and above the row before, P a click worth the first row at least; the last three within five minutes of the row before.
+CLICK_LETTERS = {"A": rowmatch.Letter(), "D": rowmatch.Letter(_KNOWN, -1, _NEAR_US), "U": rowmatch.Letter(_KNOWN, 1, _NEAR_US), "P": rowmatch.Letter("kind = 'click'", 0, _NEAR_US, True)}
+
+
+def op12_rowmatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cents = F.floor(100 * F.nanvl("value", F.lit(None)) + 0.5)
+    out = rowmatch.match(_table(spark, sf_dir, "clicks"), "client_id", "ts", "click_id", cents, "A D+ U+ P", CLICK_LETTERS)
+    return out.select("client_id", "match_no", "first_id", "last_id", "n_rows", F.col("total").alias("sum_cents"), F.sha2("labels", 256).alias("labels_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_hilbert, op4_minhash, op5_bpe, op6_token_files, op7_toxicity, op8_pii, op9_quality, op10_substring_dedup, op12_rowmatch)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = "list_filter(regexp_split_to_array(" + _LOWER + ", '{}'), lambda x: x <> '')"
@@ -103,5 +115,15 @@ links AS (SELECT x, y FROM shared JOIN s a ON x = a.doc_id JOIN s b ON y = b.doc
 reach AS (SELECT doc_id, doc_id AS r FROM s UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.r = links.x)
 SELECT doc_id, CAST(len(any_value(g)) AS BIGINT) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM s JOIN reach USING (doc_id) GROUP BY doc_id"""
 
+_MATCHES = """WITH d AS (SELECT DISTINCT * FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL),
+r AS (SELECT client_id AS k, click_id, ts, kind, CAST(floor(100 * value + 0.5) AS BIGINT) AS c, row_number() OVER (PARTITION BY client_id ORDER BY ts, click_id) AS n FROM d),
+b AS (SELECT *, lag(c) OVER w AS pc, lag(ts) OVER w AS pt, sum(c) OVER w AS upto FROM r WINDOW w AS (PARTITION BY k ORDER BY n)),
+f AS (SELECT *, coalesce(c < pc AND kind <> 'error' AND ts <= pt + INTERVAL 5 MINUTE, false) AS d, coalesce(c > pc AND kind <> 'error' AND ts <= pt + INTERVAL 5 MINUTE, false) AS u, coalesce(c + pc IS NOT NULL AND kind = 'click' AND ts <= pt + INTERVAL 5 MINUTE, false) AS p FROM b),
+e AS (SELECT *, coalesce(min(CASE WHEN NOT d THEN n END) OVER later, count(*) OVER (PARTITION BY k) + 1) - 1 AS low, coalesce(min(CASE WHEN NOT u THEN n END) OVER later, count(*) OVER (PARTITION BY k) + 1) - 1 AS high FROM f WINDOW later AS (PARTITION BY k ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+s AS (SELECT a.k, a.n, a.c, a.click_id, a.upto, a.low, v.high FROM e a JOIN e v ON v.k = a.k AND v.n = a.low WHERE a.low > a.n AND v.high > a.low),
+m AS (SELECT s.k, s.n, max(z.n) AS z FROM s JOIN e z ON z.k = s.k AND z.n BETWEEN s.low + 2 AND s.high + 1 AND z.p AND z.c >= s.c GROUP BY s.k, s.n)
+SELECT s.k AS client_id, row_number() OVER (PARTITION BY s.k ORDER BY s.n) AS match_no, s.click_id AS first_id, z.click_id AS last_id, m.z - s.n + 1 AS n_rows, CAST(z.upto - s.upto + s.c AS BIGINT) AS sum_cents, sha256('A' || repeat('D', CAST(s.low - s.n AS INT)) || repeat('U', CAST(m.z - 1 - s.low AS INT)) || 'P') AS labels_sha256
+FROM m JOIN s ON s.k = m.k AND s.n = m.n JOIN e z ON z.k = m.k AND z.n = m.z"""
+
 #: Encoding, curves, models and rolling hashes can't be put in SQL; those queries are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": _LINES, "op2_decontaminate": _LEAKS, "op4_minhash": _NEAR}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": _LINES, "op2_decontaminate": _LEAKS, "op4_minhash": _NEAR, "op12_rowmatch": _MATCHES}
