@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chunkdedup, decontaminate, hilbert, linededup, minhash, pii, quality, rowmatch, tokenfile, toxicity
+from tessera.llm import bpe, chunkdedup, decontaminate, hilbert, importance, linededup, minhash, packing, pii, quality, rowmatch, tokenfile, toxicity
 
 #: The label table annotates two categories; the chain predicts them in this order.
 CATEGORIES = {"degraded": "quality = 0", "toxic": "toxic = 1"}
@@ -60,6 +60,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunkdedup.dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighed = importance.weights(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=2, buckets=10_000)
+    return importance.resample(weighed, percent=25, least_words=20, seed=7)
+
+
 _NEAR_US = 5 * 60 * 1_000_000
 _KNOWN = "kind <> 'error'"
 #: A any row, D and U below and above the row before, P a click worth the first row at least; the last three within five minutes of the row before.
@@ -72,7 +77,12 @@ def op12_rowmatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("client_id", "match_no", "first_id", "last_id", "n_rows", F.col("total").alias("sum_cents"), F.sha2("labels", 256).alias("labels_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_hilbert, op4_minhash, op5_bpe, op6_token_files, op7_toxicity, op8_pii, op9_quality, op10_substring_dedup, op12_rowmatch)}
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0, recognise=True)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_hilbert, op4_minhash, op5_bpe, op6_token_files, op7_toxicity, op8_pii, op9_quality, op10_substring_dedup, op11_importance, op12_rowmatch, op13_packing)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = "list_filter(regexp_split_to_array(" + _LOWER + ", '{}'), lambda x: x <> '')"
@@ -125,5 +135,20 @@ m AS (SELECT s.k, s.n, max(z.n) AS z FROM s JOIN e z ON z.k = s.k AND z.n BETWEE
 SELECT s.k AS client_id, row_number() OVER (PARTITION BY s.k ORDER BY s.n) AS match_no, s.click_id AS first_id, z.click_id AS last_id, m.z - s.n + 1 AS n_rows, CAST(z.upto - s.upto + s.c AS BIGINT) AS sum_cents, sha256('A' || repeat('D', CAST(s.low - s.n AS INT)) || repeat('U', CAST(m.z - 1 - s.low AS INT)) || 'P') AS labels_sha256
 FROM m JOIN s ON s.k = m.k AND s.n = m.n JOIN e z ON z.k = m.k AND z.n = m.z"""
 
+_GUMBEL = f"""WITH tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+d AS (SELECT doc_id, row_number() OVER () AS r, {_alnum("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT {_alnum("coalesce(text, '')")} AS w FROM benchmark),
+own AS (SELECT r, f, count(*) AS n FROM (SELECT r, unnest(w) AS f FROM d UNION ALL SELECT r, unnest(list_transform(range(1, len(w)), lambda j: w[j] || ' ' || w[j + 1])) FROM d) GROUP BY r, f),
+theirs AS (SELECT f, count(*) AS n FROM (SELECT unnest(w) AS f FROM b UNION ALL SELECT unnest(list_transform(range(1, len(w)), lambda j: w[j] || ' ' || w[j + 1])) FROM b) GROUP BY f),
+h AS (SELECT f, hex(f) AS x, octet_length(encode(f)) AS n FROM (SELECT f FROM own UNION SELECT f FROM theirs)),
+k AS (SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, n), lambda j: CAST(16 * (instr('0123456789ABCDEF', x[2 * j + 1]) - 1) + instr('0123456789ABCDEF', x[2 * j + 2]) - 1 AS BIGINT))), lambda c, y: xor(t[1 + (xor(c, y) & 255)], c >> 8))) % 10000 AS k FROM h, tab),
+s AS (SELECT k, sum(n) AS s FROM own JOIN k USING (f) GROUP BY k),
+t AS (SELECT k, sum(n) AS t FROM theirs JOIN k USING (f) GROUP BY k),
+g AS (SELECT k, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000.0::DOUBLE) / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000.0::DOUBLE)))) AS g FROM s FULL JOIN t USING (k)),
+v AS (SELECT r, sum(n) AS n_features, CAST(floor(sum(g * n) / sum(n)) AS BIGINT) AS weight FROM own JOIN k USING (f) JOIN g USING (k) GROUP BY r),
+z AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN v USING (r)),
+o AS (SELECT doc_id, n_features, weight, score, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM z WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) * 25 // 100 FROM o) THEN rank END AS rank FROM o UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM z WHERE n_words < 20"""
+
 #: Encoding, curves, models and rolling hashes can't be put in SQL; those queries are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": _LINES, "op2_decontaminate": _LEAKS, "op4_minhash": _NEAR, "op12_rowmatch": _MATCHES}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": _LINES, "op2_decontaminate": _LEAKS, "op4_minhash": _NEAR, "op11_importance": _GUMBEL, "op12_rowmatch": _MATCHES}
