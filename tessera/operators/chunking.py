@@ -12,10 +12,11 @@ import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.operators import ordered
 
 CHUNK = "array<struct<heading:string,text:string,token_count:int>>"
 # The patterns of functions.text, as Python writes them.
@@ -32,18 +33,14 @@ def words_of(text: str) -> int:
 
 
 def subwords_of(path: str) -> Callable[[str], int]:
-    """A counter by a tokenizers file, loaded once in each worker; where the library or the file is missing, words are counted."""
+    """A counter by a tokenizers file, loaded once in each worker; a missing library or file is an error, so that all rows of a table are counted alike."""
 
     def count(text: str) -> int:
         if path not in _tokenizers:
-            try:
-                from tokenizers import Tokenizer
+            from tokenizers import Tokenizer
 
-                _tokenizers[path] = Tokenizer.from_file(path)
-            except Exception:
-                _tokenizers[path] = None
-        tok = _tokenizers[path]
-        return words_of(text) if tok is None else len(tok.encode(text, add_special_tokens=False).ids)
+            _tokenizers[path] = Tokenizer.from_file(path)
+        return len(_tokenizers[path].encode(text, add_special_tokens=False).ids)
 
     return count
 
@@ -153,11 +150,11 @@ def pack_native(parts: Column, limit: int = T.MAX_TOKENS) -> Column:
     return F.aggregate(parts, empty, step, lambda a: F.when(a.text == "", a.out).otherwise(F.concat(a.out, F.array(F.struct(a.text.alias("text"), a.n.alias("n"))))))
 
 
-def heading_rows(rows: DataFrame, key: str, order: str, text_col: str, default: str = T.DEFAULT_HEADING) -> DataFrame:
-    """rows with the heading that each paragraph stands under (its own text, if it is one) and whether it is one."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def heading_rows(rows: DataFrame, key: str, order: str, text_col: str, default: str = T.DEFAULT_HEADING, hot: int = ordered.HOT) -> DataFrame:
+    """rows with the heading that each paragraph stands under (its own text, if it is one) and whether it is one; a document of `hot` paragraphs or more is split."""
     rows = rows.withColumn("is_heading", T.is_heading(F.col(text_col)))
-    return rows.withColumn("heading", F.coalesce(F.last(F.when(F.col("is_heading"), F.col(text_col)), ignorenulls=True).over(w), F.lit(default)))
+    out = ordered.running(rows, [key], [F.col(order)], {"heading": ("last", F.when(F.col("is_heading"), F.col(text_col)))}, inclusive=True, hot=hot)
+    return out.withColumn("heading", F.coalesce("heading", F.lit(default)))
 
 
 def chunk_rows(docs: DataFrame, text_col: str, heading: Column | None = None, limit: int = T.MAX_TOKENS) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import ordered
+
 # The states in their order; the error state can be entered from any, and isn't left.
 STATES = ["PENDING", "DOWNLOADED", "EXTRACTED", "OCR_COMPLETED", "CLEANED", "CHUNKED", "TAGGED", "COMPLETED"]
 ERROR = "ERROR"
@@ -23,27 +25,25 @@ def can_move(src: Column, dst: Column) -> Column:
     return F.when(dst == ERROR, True).when(src == ERROR, False).otherwise((ordinal(dst) > ordinal(src)) & (ordinal(dst) > 0))
 
 
-def steps(events: DataFrame, key: str, seq: str, state: str) -> DataFrame:
+def steps(events: DataFrame, key: str, seq: str, state: str, hot: int = ordered.HOT) -> DataFrame:
     """(key, seq, src, dst, ok) of each event, in order of seq and then state: what it met, and whether it moved the document.
 
     An illegal event never lies beyond the state it meets, so the state is the furthest event before, or the error state
-    once that was entered: two running maxima instead of a fold.
+    once that was entered: two running maxima instead of a fold. A document of `hot` events or more is split.
     """
-    before = Window.partitionBy(key).orderBy(F.col(seq).asc_nulls_last(), F.col(state).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    furthest = F.greatest(F.max(ordinal(F.col(state))).over(before), F.lit(1)).cast("int")
-    failed = F.coalesce(F.max(F.col(state) == ERROR).over(before), F.lit(False))
-    src = F.when(failed, ERROR).otherwise(F.element_at(F.array(*map(F.lit, STATES)), furthest))
-    rows = events.select(key, F.col(seq).cast("bigint").alias("seq"), src.alias("src"), F.col(state).alias("dst"))
+    rows = events.select(key, F.col(seq).cast("bigint").alias("seq"), F.col(state).alias("dst"))
+    values = {"_far": ("max", ordinal(F.col("dst"))), "_failed": ("max", F.col("dst") == ERROR)}
+    rows = ordered.running(rows, [key], [F.col("seq").asc_nulls_last(), F.col("dst").asc_nulls_last()], values, hot=hot)
+    at = F.element_at(F.array(*map(F.lit, STATES)), F.greatest(F.col("_far"), F.lit(1)).cast("int"))
+    rows = rows.select(key, "seq", F.when(F.coalesce("_failed", F.lit(False)), ERROR).otherwise(at).alias("src"), "dst")
     return rows.withColumn("ok", F.coalesce(can_move(F.col("src"), F.col("dst")), F.lit(False)))
 
 
-def fold(events: DataFrame, key: str, seq: str, state: str) -> DataFrame:
-    """(key, state, n, rejects): the events of each document in order, through the machine; illegal ones change nothing and are listed."""
+def fold(events: DataFrame, key: str, seq: str, state: str, hot: int = ordered.HOT) -> DataFrame:
+    """(key, state, n, n_rejects): the events of each document in order, through the machine; illegal ones change nothing and are counted, and listed by steps()."""
     furthest = F.greatest(F.max(ordinal(F.col("dst"))), F.lit(1)).cast("int")
     now = F.when(F.coalesce(F.bool_or(F.col("dst") == ERROR), F.lit(False)), ERROR).otherwise(F.element_at(F.array(*map(F.lit, STATES)), furthest))
-    bad = F.array_sort(F.collect_list(F.when(~F.col("ok"), F.struct("seq", "dst", "src"))))
-    out = steps(events, key, seq, state).groupBy(key).agg(now.alias("state"), F.count_if("ok").cast("int").alias("n"), bad.alias("rejects"))
-    return out.select(key, "state", "n", F.transform("rejects", lambda r: F.struct(r.seq.alias("seq"), r.src.alias("src"), r.dst.alias("dst"))).alias("rejects"))
+    return steps(events, key, seq, state, hot).groupBy(key).agg(now.alias("state"), F.count_if("ok").cast("int").alias("n"), F.count_if(~F.col("ok")).cast("int").alias("n_rejects"))
 
 
 def upserted(events: DataFrame, key: str, seq: str, columns: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import error_rate, nfc
+from tessera.functions.text import edits, error_rate
 
 # The service levels (metric, name, threshold, comparison), and the error rate in percent that raises an alert.
 LEVELS = [
@@ -42,13 +42,16 @@ def alerts(rate: Column) -> Column:
 
 def corpus_error_rate(pairs: DataFrame, read: str, truth: str) -> DataFrame:
     """One row: all edits over all characters of the truth."""
-    a, b = nfc(F.col(read)), nfc(F.col(truth))
-    sums = pairs.agg(F.sum(F.levenshtein(a, b)).alias("edits"), F.sum(F.length(b)).alias("chars"))
+    rows = pairs.repartition(F.xxhash64(read, truth)).select(F.explode(F.array(edits(F.col(read), F.col(truth)))).alias("e"))  # dealt out, for the work is far more than the bytes
+    sums = rows.agg(F.sum("e.edits").alias("edits"), F.sum("e.chars").alias("chars"))
     return sums.select(ratio(F.coalesce("edits", F.lit(0)), F.coalesce("chars", F.lit(0))).alias("corpus_cer"))
 
 
 def error_rates(pairs: DataFrame, read: str, truth: str) -> DataFrame:
-    return pairs.withColumn("cer", error_rate(F.col(read), F.col(truth)))
+    """pairs, as they are dealt out, with their number of edits, and cer; for long texts the work is far more than the bytes, so few files should be dealt out first."""
+    rows = pairs.withColumn("_e", F.explode(F.array(edits(F.col(read), F.col(truth)))))
+    rate = F.when(F.col("_e.chars") == 0, F.when(F.col("_e.given") == 0, 0.0).otherwise(1.0)).otherwise(F.col("_e.edits") / F.col("_e.chars"))
+    return rows.withColumn("edits", F.col("_e.edits")).withColumn("cer", rate).drop("_e")
 
 
 def levels(spark: SparkSession) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tessera.sources.shared import cut
 
-#: Rows that are worth a block of their own.
-LEAST_ROWS = 20_000
+#: Rows of a key that one task takes in its stride; with more in any key, work goes by blocks.
+HOT = 2_000_000
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -34,14 +34,24 @@ def ranked(rows: DataFrame, by: list[Column], n: int | None = None, out: str = "
 _KINDS = {"max": (F.max, F.greatest), "min": (F.min, F.least), "last": (lambda c: F.last(c, ignorenulls=True), lambda a, b: F.coalesce(b, a)), "sum": (F.sum, lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b))}
 
 
-def running(rows: DataFrame, key: list[str], by: list[Column], values: dict[str, tuple[str, Column]], n: int | None = None, inclusive: bool = False) -> DataFrame:
+def has_hot(rows: DataFrame, key: list[str], hot: int = HOT) -> bool:
+    """Whether a key has `hot` rows or more; counts are combined before they're shuffled."""
+    return not rows.groupBy(*key).count().filter(F.col("count") >= hot).isEmpty()
+
+
+def running(rows: DataFrame, key: list[str], by: list[Column], values: dict[str, tuple[str, Column]], n: int | None = None, inclusive: bool = False, hot: int = HOT) -> DataFrame:
     """rows with a running value of each key in the order of `by`: values has name: (max, min, last or sum, column), over the rows before (inclusive: and the row's own); nulls are passed over.
 
-    Null keys are one key. The order among rows that are alike in `by` is free but the same for all values.
+    Null keys are one key. The order among rows that are alike in `by` is free but the same for all values. Where no
+    key has `hot` rows, a window for each key does; else the keys are split, with the same result.
     """
+    end = 0 if inclusive else -1
+    if not has_hot(rows, key, hot):
+        w = Window.partitionBy(*key).orderBy(*by).rowsBetween(Window.unboundedPreceding, end)
+        return rows.select("*", *(_KINDS[kind][0](c).over(w).alias(name) for name, (kind, c) in values.items()))
     held = rows.select("*", *(c.alias(f"_v_{name}") for name, (_, c) in values.items()))
     own = blocks(held, [*map(F.col, key), *by], n)
-    mine = Window.partitionBy(*key, "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    mine = Window.partitionBy(*key, "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, end)
     inner = own.select("*", *(_KINDS[kind][0](F.col(f"_v_{name}")).over(mine).alias(f"_i_{name}") for name, (kind, _) in values.items()))
 
     def total(kind: str, name: str) -> Column:
@@ -58,16 +68,17 @@ def running(rows: DataFrame, key: list[str], by: list[Column], values: dict[str,
     return both.select(*(f"`{c}`" for c in rows.columns), *(_KINDS[kind][1](F.col(f"_c_{name}"), F.col(f"_i_{name}")).alias(name) for name, (kind, _) in values.items()))
 
 
-def asof(left: DataFrame, right: DataFrame, key: list[str], time: str, columns: list[str], forward: bool = False, n: int | None = None) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, key: list[str], time: str, columns: list[str], forward: bool = False, n: int | None = None, hot: int = HOT) -> DataFrame:
     """left with `columns` of the last row of right (of the same key) at or before its time; forward: the first at or after it; nulls where there is none.
 
-    Both sides are put in one order and the last value is carried along, so that no key meets in one task. Rows of
-    right without a time are passed over; rows of left without one get nulls. Of rows of right at one time any may come last.
+    Both sides are put in one order and the last value is carried along, so that no hot key meets in one task. Rows of
+    right without a time are passed over; rows of left without one get nulls. Of rows of right at one time the one with
+    the largest columns comes last (forward: the smallest comes first).
     """
     value = F.struct(*(F.col(c) for c in columns))
     theirs = right.filter(F.col(time).isNotNull()).select(*key, F.col(time).alias("_t"), value.alias("_given"), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_row"))
     ours = left.select(*key, F.col(time).alias("_t"), F.lit(None).cast(theirs.schema["_given"].dataType).alias("_given"), F.struct("*").alias("_row"))
     side = F.col("_row").isNotNull().cast("int")
-    order = [F.col("_t").desc_nulls_first() if forward else F.col("_t").asc_nulls_first(), side.asc()]
-    out = running(theirs.unionByName(ours), key, order, {"_found": ("last", F.col("_given"))}, n).filter("_row is not null")
+    order = [F.col("_t").desc_nulls_first(), side.asc(), F.col("_given").desc()] if forward else [F.col("_t").asc_nulls_first(), side.asc(), F.col("_given").asc()]
+    out = running(theirs.unionByName(ours), key, order, {"_found": ("last", F.col("_given"))}, n, hot=hot).filter("_row is not null")
     return out.select(*(F.col(f"_row.`{c}`").alias(c) for c in left.columns), *(F.col(f"_found.`{c}`").alias(c) for c in columns))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import ordered
+
 # The line items.
 OPERATING_PROFIT, TOTAL_ASSETS = "Operating profit/(loss)", "Total Assets"
 
@@ -68,6 +70,11 @@ def market_equity(bars: DataFrame, share_rows: DataFrame, key: str = "symbol") -
     return bars.join(share_rows, key, "left").withColumn("market_equity", F.col("close").cast("double") * F.col("shares"))
 
 
+def market_equity_asof(bars: DataFrame, share_rows: DataFrame, key: str = "symbol", time: str = "time", hot: int = ordered.HOT) -> DataFrame:
+    """bars with shares and market_equity by the issuer's shares (key, time, shares) of their time: the last count at or before each; an issuer of `hot` rows or more is split."""
+    return ordered.asof(bars, share_rows, [key], time, ["shares"], hot=hot).withColumn("market_equity", F.col("close").cast("double") * F.col("shares"))
+
+
 def summary(bars: DataFrame, share_rows: DataFrame, assets: DataFrame, key: str = "symbol") -> DataFrame:
     """(key, shares_outstanding, last_close, market_cap_est, years_of_financials); a close or share count of 0 counts as missing for the estimate."""
     last = bars.groupBy(key).agg(F.max_by("close", "month").alias("last_close"))

@@ -1,20 +1,23 @@
-"""Weighted keyword taxonomies: scores and tags as literal expressions, without a join."""
+"""Weighted keyword taxonomies and dictionaries: scores and tags of texts."""
 
 from __future__ import annotations
 
 import json
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import keywords as K
 from tessera.functions import text as T
+from tessera.sources.shared import cut
 
 # Environmental categories come first, then social, then governance ones, then others.
 ORDER = "ESG"
 THRESHOLD = 2
-#: Entries of a dictionary table that are matched in one pass over the rows.
-BLOCK = 1000
+#: Classes of bytes that a dictionary's first division into blocks reckons with.
+_LETTERS = 40
 
 
 class Keyword(NamedTuple):
@@ -74,19 +77,66 @@ def tags(normal: Column, words: list[Keyword], threshold: int = THRESHOLD) -> Co
     return F.array_compact(F.array(*(F.when(found[c] >= threshold, F.lit(c)) for c in sorted(found, key=rank))))
 
 
+def scored(text: Column, words: list[Keyword]) -> Column:
+    """An array of each category's score in a raw text, all keywords found in one pass over its bytes."""
+    own = _categories(words)
+    return K.sums_column(text, [(own.index(w.category), w.keyword, w.weight) for w in words], len(own))
+
+
 def tagged(rows: DataFrame, text_col: str, words: list[Keyword], threshold: int = THRESHOLD, out: str = "matched_tags") -> DataFrame:
-    """rows that have a tag, with their tags; the text is folded, and the tags are found, once a row (the generator keeps the filter from repeating either)."""
-    return rows.withColumn(out, F.explode(F.transform(F.array(T.normal(F.col(text_col))), lambda n: tags(n, words, threshold)))).filter(F.size(out) > 0)
-
-
-def joined_scores(rows: DataFrame, id_cols: list[str], text_col: str, dictionary: DataFrame) -> DataFrame:
-    """The same scores for a dictionary held as a table: (ids, category, score). A dictionary of any size is taken in blocks of BLOCK entries, each a literal array that every row is held against."""
-    entries, out = sorted(map(tuple, dictionary.select("category", "keyword", "weight").toLocalIterator()), key=str), None
-    folded = rows.select(*id_cols, F.explode(F.array(T.normal(F.col(text_col)))).alias("_n"))
-    for at in range(0, max(1, len(entries)), BLOCK):
-        block = F.array(*(F.struct(F.lit(c).alias("category"), F.lit(k).alias("keyword"), F.lit(w).alias("weight")) for c, k, w in entries[at : at + BLOCK])) if entries else F.expr("cast(array() as array<struct<category:string,keyword:string,weight:int>>)")
-        e = folded.select(*id_cols, "_n", F.explode(block).alias("e"))
-        hits = ((F.octet_length("_n") - F.octet_length(F.replace("_n", F.col("e.keyword"), F.lit("")))) / F.octet_length("e.keyword")).cast("int")
-        part = e.select(*id_cols, F.col("e.category").alias("category"), (hits * F.col("e.weight")).alias("s")).filter("s > 0")
+    """rows that have a tag, with their tags; a text is read once (the generator keeps the filter from repeating it)."""
+    own = _categories(words)
+    rank = lambda c: ORDER.index(c[0]) if c and c[0] in ORDER else len(ORDER)
+    named = lambda s: F.array_compact(F.array(*(F.when(s[own.index(c)] >= threshold, F.lit(c)) for c in sorted(own, key=rank))))
+    return rows.withColumn(out, F.explode(F.transform(F.array(scored(F.col(text_col), words)), named))).filter(F.size(out) > 0)
+
+
+def joined_scores(rows: DataFrame, id_cols: list[str], text_col: str, dictionary: DataFrame, cells: int = K.CELLS) -> DataFrame:
+    """The same scores for a dictionary of any size held as a table (category, keyword, weight): (ids, category, score), without scores of 0.
+
+    Automata are built by tasks, for ranges of keywords, in blocks of a checked size (`cells`, 64 MB at most in a
+    worker); a block at a time is broadcast, and the texts are read once for each. Keywords are folded as texts are;
+    entries that repeat count as often; empty keywords and nulls are left out.
+    """
+    spark = rows.sparkSession
+    entries = dictionary.select(F.col("category").cast("string").alias("category"), T.normal(F.col("keyword")).alias("keyword"), F.col("weight").cast("long").alias("weight")).filter("keyword <> '' and category is not null and weight is not null")
+    own = entries.groupBy("keyword", "category").agg(F.sum("weight").alias("weight")).groupBy("keyword").agg(F.collect_list(F.struct("category", "weight")).alias("own"))
+    size = entries.agg(F.sum(F.octet_length("keyword"))).first()[0] or 0
+    n = max(1, -(-size * _LETTERS // cells))
+
+    def built(batches):
+        words, own = [], []
+        for batch in batches:
+            words += batch.column(0).to_pylist()
+            own += [[(e["category"], e["weight"]) for e in x] for x in batch.column(1).to_pylist()]
+        order = sorted(range(len(words)), key=lambda i: words[i].encode())
+        for content in K.blocks([words[i] for i in order], [own[i] for i in order], cells):
+            yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
+
+    blocks = cut(own.repartitionByRange(n, "keyword").mapInArrow(built, "content binary"))
+    texts = rows.select(*id_cols, F.col(text_col).cast("string").alias("_text"))
+    kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in id_cols)
+    fields = f"{kinds}, category string, score long"
+
+    def found(shared):
+        def run(batches):
+            block = K.opened(shared.value)
+            names = pa.array(block.names, pa.string())
+            for batch in batches:
+                row, group, total = K.scores(block, batch.column(batch.num_columns - 1))
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(at) for i in range(len(id_cols))), names.take(pa.array(group)), pa.array(total)], [*id_cols, "category", "score"])
+
+        return run
+
+    out, several = None, blocks.count() > 1
+    for block in blocks.toLocalIterator():
+        shared = spark.sparkContext.broadcast(bytes(block.content))
+        part = texts.mapInArrow(found(shared), fields)
+        if several:  # so that no more than one block is held at a time
+            part = cut(part)
+            shared.destroy()
         out = part if out is None else out.unionByName(part)
-    return out.groupBy(*id_cols, "category").agg(F.sum("s").alias("score"))
+    if out is None:
+        return texts.select(*id_cols, F.lit("").alias("category"), F.lit(0).cast("long").alias("score")).filter("false")
+    return out.groupBy(*id_cols, "category").agg(F.sum("score").alias("score")).filter("score <> 0")

@@ -138,8 +138,8 @@ _CATEGORIES = list(dict.fromkeys(w.category for w in WORDS))
 
 @query(f"SELECT doc_id, {', '.join(f'CAST({sql.score("n", WORDS, c)} AS INT) AS {c.lower()}' for c in _CATEGORIES)} FROM (SELECT doc_id, {sql.normal('text')} AS n FROM documents)")
 def tag_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "documents").select("doc_id", T.normal(F.col("text")).alias("n"))
-    return rows.select("doc_id", *(s.alias(c.lower()) for c, s in taxonomy.score(F.col("n"), WORDS).items()))
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(taxonomy.scored(F.col("text"), WORDS))).alias("s"))
+    return rows.select("doc_id", *(F.col("s")[i].alias(c.lower()) for i, c in enumerate(_CATEGORIES)))
 
 
 @query(f"SELECT * FROM (SELECT doc_id, {sql.tags('n', WORDS)} AS tags FROM (SELECT doc_id, {sql.normal('text')} AS n FROM documents)) WHERE tags <> ''")
@@ -161,6 +161,26 @@ def taxonomy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.joined_scores(rows, ["doc_id"], "text", taxonomy.frame(spark, WORDS)).select("doc_id", "category", F.col("score").cast("bigint").alias("score"))
 
 
+_TOKEN = "regexp_split_to_array({}, '[\\s\\x0b\\x1c-\\x1f\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]+')"
+
+
+@query(f"""WITH d AS (SELECT doc_id, unnest({_TOKEN.format(sql.normal("text"))}) AS w FROM documents),
+own AS (SELECT doc_id, w, count(*) AS n FROM d WHERE w <> '' GROUP BY doc_id, w),
+words AS (SELECT DISTINCT w FROM own),
+dict AS (SELECT w AS k, 'C' || length(w) % 7 AS category, 1 + length(w) % 3 AS weight FROM words WHERE length(w) BETWEEN 3 AND 40 UNION SELECT n || p, 'P', 2 FROM (SELECT {sql.normal("c_mktsegment")} AS n FROM customer GROUP BY 1), (SELECT p_partkey % 10 AS p FROM part GROUP BY 1)),
+parts AS (SELECT DISTINCT w, substr(w, i, n) AS k FROM (SELECT w, i, unnest(range(3, least(41, length(w) - i + 2))) AS n FROM (SELECT w, unnest(range(1, length(w) - 1)) AS i FROM words))),
+hits AS (SELECT w, category, sum((length(w) - length(replace(w, k, ''))) // length(k) * weight) AS s FROM parts JOIN dict USING (k) GROUP BY w, category)
+SELECT doc_id, category, CAST(sum(s * n) AS BIGINT) AS score FROM own JOIN hits USING (w) GROUP BY doc_id, category""")
+def dictionary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    words = d.select(F.explode(T.tokens(T.normal(F.col("text")))).alias("keyword")).distinct()
+    n = F.length("keyword")
+    own = words.filter(n.between(3, 40)).select(F.concat(F.lit("C"), (n % 7).cast("string")).alias("category"), "keyword", (1 + n % 3).alias("weight"))
+    pairs = read(spark, sf_dir, "customer").select(T.normal(F.col("c_mktsegment")).alias("n")).distinct().crossJoin(read(spark, sf_dir, "part").select((F.col("p_partkey") % 10).cast("string").alias("p")).distinct())
+    named = pairs.select(F.lit("P").alias("category"), F.concat("n", "p").alias("keyword"), F.lit(2).alias("weight"))
+    return taxonomy.joined_scores(d, ["doc_id"], "text", own.unionByName(named))
+
+
 # --- deduplication -----------------------------------------------------------------------------------------------
 
 _HASH = "sha256(regexp_replace(nfc_normalize(lower(text)), '[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+', '', 'g'))"
@@ -364,7 +384,7 @@ f AS (SELECT user_id, list_reduce(es, lambda a, e: CASE WHEN e.dst = 'ERROR' OR
 
 @query(_FOLD + " SELECT user_id, r.s AS state, CAST(r.n AS INT) AS n_moves, CAST(len(r.bad) AS INT) AS n_rejects FROM f")
 def doc_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lifecycle.fold(_moves(spark, sf_dir), "user_id", "event_id", "dst").select("user_id", "state", F.col("n").alias("n_moves"), F.size("rejects").alias("n_rejects"))
+    return lifecycle.fold(_moves(spark, sf_dir), "user_id", "event_id", "dst").select("user_id", "state", F.col("n").alias("n_moves"), "n_rejects")
 
 
 @query(_FOLD + " SELECT user_id, b.id AS event_id, b.src AS src, b.dst AS dst FROM (SELECT user_id, unnest(r.bad) AS b FROM f)")
@@ -389,6 +409,66 @@ def doc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.merged(table, c.select((F.col("c_custkey") + 100).alias("key"), F.when(F.col("c_custkey") % 5 > 0, F.col("c_name")).alias("v")), "key", ["v"])
 
 
+# --- keys of any size: a third of the clicks are one client's ---------------------------------------------------------
+
+#: Clicks of a client from which on its work is split.
+_HOT = 2_000
+
+
+def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "clicks").filter("ts is not null").groupBy("click_id").agg(F.coalesce(F.min("client_id"), F.lit(-1)).alias("client_id"), F.min("ts").alias("ts"), F.min("kind").alias("kind"), F.min("value").alias("value"))
+
+
+_CLICKS = "SELECT click_id, coalesce(min(client_id), -1) AS client_id, min(ts) AS ts, min(kind) AS kind, min(value) AS value FROM clicks WHERE ts IS NOT NULL GROUP BY click_id"
+
+
+def _starts_sql(key: str, seconds: int) -> str:
+    """The first call of each window, each found from the one before."""
+    return f"""WITH RECURSIVE c AS MATERIALIZED (SELECT click_id, {key} AS k, epoch_us(ts) AS t FROM ({_CLICKS})),
+s AS (SELECT coalesce(k, -1) AS k, min(t) AS f0 FROM c GROUP BY 1 UNION SELECT s.k, (SELECT min(c.t) FROM c WHERE coalesce(c.k, -1) = s.k AND c.t >= s.f0 + {seconds * 1_000_000}) FROM s WHERE s.f0 IS NOT NULL),
+w AS (SELECT c.click_id, c.k, c.t, s.f0 AS f0 FROM c ASOF JOIN (SELECT * FROM s WHERE f0 IS NOT NULL) s ON coalesce(c.k, -1) = s.k AND c.t >= s.f0),
+n AS (SELECT k, click_id, row_number() OVER (PARTITION BY k, f0 ORDER BY t, click_id) AS n FROM w)"""
+
+
+@query(_starts_sql("0", 86_400) + " SELECT click_id, CAST(n AS INT) AS n, n <= 50 AS allowed FROM n")
+def one_key_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = _clicks(spark, sf_dir).withColumn("api", F.lit("search"))
+    return limits.rate_limited(calls, "api", "ts", "click_id", 50, 86_400, hot=_HOT).select(F.col("tie").alias("click_id"), "n", "allowed")
+
+
+_CLICK_MOVES = f"SELECT click_id, client_id, CASE WHEN kind = 'error' AND click_id % 1000 = 7 THEN 'ERROR' ELSE list_extract(['PENDING','DOWNLOADED','EXTRACTED','OCR_COMPLETED','CLEANED','CHUNKED','TAGGED','COMPLETED'], 1 + CAST(length(coalesce(kind, '')) AS INT) % 8) END AS dst FROM ({_CLICKS})"
+_CLICK_STEPS = f"""WITH m AS ({_CLICK_MOVES}),
+b AS (SELECT *, greatest(1, coalesce(max({_ORD.format('dst')}) OVER w, 1)) AS far, coalesce(bool_or(dst = 'ERROR') OVER w, false) AS failed FROM m WINDOW w AS (PARTITION BY client_id ORDER BY click_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s AS (SELECT client_id, click_id, CASE WHEN failed THEN 'ERROR' ELSE list_extract(['PENDING','DOWNLOADED','EXTRACTED','OCR_COMPLETED','CLEANED','CHUNKED','TAGGED','COMPLETED'], far) END AS src, dst FROM b),
+o AS (SELECT *, dst = 'ERROR' OR (src <> 'ERROR' AND {_ORD.format('dst')} > {_ORD.format('src')}) AS ok FROM s)"""
+
+
+def _click_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = (F.col("kind") == "error") & (F.col("click_id") % 1000 == 7)
+    dst = F.when(failed, lifecycle.ERROR).otherwise(F.element_at(F.array(*map(F.lit, lifecycle.STATES)), 1 + F.length(F.coalesce("kind", F.lit(""))) % 8))
+    return _clicks(spark, sf_dir).select("client_id", "click_id", dst.alias("dst"))
+
+
+@query(_CLICK_STEPS + " SELECT client_id, click_id, src, dst FROM o WHERE NOT ok")
+def client_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lifecycle.steps(_click_moves(spark, sf_dir), "client_id", "click_id", "dst", hot=_HOT).filter("not ok")
+    return rows.select("client_id", F.col("seq").alias("click_id"), "src", "dst")
+
+
+@query(_CLICK_STEPS + " SELECT client_id, arg_max(CASE WHEN ok THEN dst ELSE src END, click_id) AS state, CAST(count(*) FILTER (WHERE ok) AS INT) AS n_moves, CAST(count(*) FILTER (WHERE NOT ok) AS INT) AS n_rejects FROM o GROUP BY client_id")
+def client_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.fold(_click_moves(spark, sf_dir), "client_id", "click_id", "dst", hot=_HOT).select("client_id", "state", F.col("n").alias("n_moves"), "n_rejects")
+
+
+@query(f"""WITH c AS ({_CLICKS}), p AS (SELECT * FROM c WHERE kind = 'purchase' AND client_id >= 0), s AS (SELECT client_id, ts, max(value) AS shares FROM c WHERE kind = 'signup' AND client_id >= 0 AND value IS NOT NULL GROUP BY 1, 2)
+SELECT click_id, p.value AS close, shares, round(p.value * shares, 4) AS market_equity FROM p ASOF LEFT JOIN s ON p.client_id = s.client_id AND p.ts >= s.ts""")
+def equity_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _clicks(spark, sf_dir).filter("client_id >= 0")
+    bars = c.filter("kind = 'purchase'").select("click_id", F.col("client_id").alias("symbol"), F.col("ts").alias("time"), F.col("value").alias("close"))
+    share_rows = c.filter("kind = 'signup' and value is not null").select(F.col("client_id").alias("symbol"), F.col("ts").alias("time"), F.col("value").alias("shares"))
+    return quant.market_equity_asof(bars, share_rows, hot=_HOT).select("click_id", "close", "shares", F.round("market_equity", 4).alias("market_equity"))
+
+
 # --- metrics -----------------------------------------------------------------------------------------------------
 
 
@@ -418,7 +498,18 @@ _READ = "regexp_replace(translate(text, 'oe', '03'), 'th', '', 'g')"
 @query(f"SELECT item_id, CAST(levenshtein({_READ}, text) AS INT) AS edits, round(levenshtein({_READ}, text) / length(text), 9) AS cer FROM benchmark")
 def cer(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = read(spark, sf_dir, "benchmark").withColumn("read", F.regexp_replace(F.translate("text", "oe", "03"), "th", ""))
-    return metrics.error_rates(b, "read", "text").select("item_id", F.levenshtein("read", "text").alias("edits"), F.round("cer", 9).alias("cer"))
+    return metrics.error_rates(b, "read", "text").select("item_id", F.col("edits").cast("int").alias("edits"), F.round("cer", 9).alias("cer"))
+
+
+# A text in which characters are replaced by ones that it never has, and others are left out, needs an edit for each.
+_NEVER = "length(text) - length(translate(replace(text, 'th', ''), 'oe', ''))"
+
+
+@query(f"SELECT doc_id, CAST({_NEVER} AS BIGINT) AS edits, round(({_NEVER}) / length(text), 9) AS cer FROM documents WHERE text <> ''")
+def cer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select("doc_id", "text").filter("text <> ''")
+    garbled = d.withColumn("read", F.translate(F.replace("text", F.lit("th"), F.lit("")), "oe", "\x01\x02"))
+    return metrics.error_rates(garbled.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id"), "read", "text").select("doc_id", "edits", F.round("cer", 9).alias("cer"))
 
 
 @query(f"SELECT round(sum(levenshtein({_READ}, text)) / sum(length(text)), 9) AS corpus_cer FROM benchmark")

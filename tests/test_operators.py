@@ -1,11 +1,13 @@
 import math
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import links as L
-from tessera.operators import dedup, discovery, lifecycle, limits, metrics, quant, tables, taxonomy
+from tessera.functions import text as T
+from tessera.operators import chunking, dedup, discovery, lifecycle, limits, metrics, quant, tables, taxonomy
 from tessera.plans import records
 
 WORDS = taxonomy.keywords(taxonomy.ESG)
@@ -116,8 +118,10 @@ def test_moves(spark):
 
 def test_lifecycle_and_upsert(spark):
     events = spark.createDataFrame([("d", 1, "DOWNLOADED"), ("d", 2, "PENDING"), ("d", 3, "ERROR"), ("e", 1, None)], "k string, seq int, s string")
-    got = {r.k: (r.state, r.n, [(x.src, x.dst) for x in r.rejects]) for r in lifecycle.fold(events, "k", "seq", "s").collect()}
-    assert got == {"d": ("ERROR", 2, [("DOWNLOADED", "PENDING")]), "e": ("PENDING", 0, [("PENDING", None)])}
+    got = {r.k: (r.state, r.n, r.n_rejects) for r in lifecycle.fold(events, "k", "seq", "s").collect()}
+    assert got == {"d": ("ERROR", 2, 1), "e": ("PENDING", 0, 1)}
+    bad = sorted((r.k, r.src, str(r.dst)) for r in lifecycle.steps(events, "k", "seq", "s").filter("not ok").collect())
+    assert bad == [("d", "DOWNLOADED", "PENDING"), ("e", "PENDING", "None")]
     log = spark.createDataFrame([("VNM_2023", 1, None, "deadbeef"), ("VNM_2023", 2, "TEXT", None), ("X", 1, None, None)], "k string, seq int, flag string, hash string")
     assert sorted(map(tuple, lifecycle.upserted(log, "k", "seq", ["flag", "hash"]).collect())) == [("VNM_2023", "TEXT", "deadbeef"), ("X", None, None)]
     table = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
@@ -129,6 +133,37 @@ def _calls(spark, seconds, key="k"):
     return spark.createDataFrame([(key, datetime(2024, 1, 1) + timedelta(seconds=s), i) for i, s in enumerate(seconds)], "key string, ts timestamp, id int")
 
 
+def test_a_key_of_any_size_is_split(spark):
+    rng = np.random.default_rng(6)
+    calls = [("hot", datetime(2024, 1, 1) + timedelta(seconds=int(s)), i) for i, s in enumerate(rng.integers(0, 4000, 900))]
+    calls += [("hot", None, 900), ("hot", None, 901), (None, datetime(2024, 1, 1), 902), ("b", datetime(2024, 1, 1), 903)]
+    frame = spark.createDataFrame(calls, "key string, ts timestamp, id int").repartition(6)
+    for seconds in (1, 60, 5000):
+        plain, split = ({r.tie: r.n for r in limits.windows(frame, "key", "ts", "id", seconds, hot).collect()} for hot in (10**6, 100))
+        assert plain == split and len(split) == len(calls)
+    moves = spark.createDataFrame([("d", int(i), str(rng.choice([*lifecycle.STATES[: 1 + i // 90], "X"]) if i != 650 else "ERROR")) for i in rng.permutation(800)] + [("e", 1, "TAGGED")], "k string, seq int, s string")
+    plain, split = (sorted(map(tuple, lifecycle.steps(moves, "k", "seq", "s", hot).collect())) for hot in (10**6, 100))
+    assert plain == split and {r[4] for r in plain} == {True, False}
+    lines = spark.createDataFrame([("d", int(i), f"{i}. head" if i % 50 == 7 else f"line {i}") for i in rng.permutation(600)], "k string, pos int, t string")
+    plain, split = (sorted(map(tuple, chunking.heading_rows(lines, "k", "pos", "t", hot=hot).collect())) for hot in (10**6, 100))
+    assert plain == split
+
+
+def test_distance(spark):
+    rng = np.random.default_rng(7)
+    pairs = [("", ""), ("a", ""), ("", "ab"), ("kitten", "sitting"), (None, "a"), ("e\u0301", "é")]
+    for n in (1, 5, 63, 64, 65, 130, 700):
+        for _ in range(6):
+            a = "".join(rng.choice(list("abcé日"), n))
+            b = "".join(c if rng.random() < 0.8 else str(rng.choice(list("abx"))) * int(rng.integers(0, 3)) for c in a)
+            pairs += [(a, b), (b, a), (a, "".join(rng.permutation(list(a))))]
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    got = metrics.error_rates(rows, "a", "b").withColumn("want", F.levenshtein(T.nfc(F.col("a")), T.nfc(F.col("b")))).collect()
+    assert len(got) == len(pairs) and all(r.edits == r.want for r in got)
+    long = "ab" * 60_000
+    assert T.distance(long, "x" + long[:70_000] + "yz" + long[70_003:]) == 4
+
+
 def test_rate_limit(spark):
     assert [r.allowed for r in limits.rate_limited(_calls(spark, [0] * 5), "key", "ts", "id", 3, 60).orderBy("tie").collect()] == [True, True, True, False, False]
     assert [r.allowed for r in limits.rate_limited(_calls(spark, [0, 10, 20, 59, 60, 61, 130]), "key", "ts", "id", 3, 60).orderBy("tie").collect()] == [True, True, True, False, True, True, True]
@@ -173,7 +208,7 @@ def test_new_items_keeps_one_of_ties_and_rows_without_order(spark):
 def test_texts_are_folded_and_chunked_once(spark):
     docs = spark.createDataFrame([("VNM", 2023, "khí nhà kính", [], None, False)], "ticker string, fiscal_year int, raw_text string, tables array<string>, heading_context string, normalize_ocr boolean")
     plan = taxonomy.tagged(docs, "raw_text", WORDS)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("octet_length(lower(") == 1
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("run(raw_text") == 1
     plan = records.build(docs, WORDS)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 2  # texts and tables
 

@@ -25,8 +25,8 @@ def test_ranked(spark):
 def test_running_values_split_a_hot_key(spark):
     rows = spark.createDataFrame(_rows(), "k string, t int, v int").repartition(5)
     values = {"high": ("max", F.col("v")), "low": ("min", F.col("v")), "prev": ("last", F.col("v")), "total": ("sum", F.col("v"))}
-    for inclusive in (False, True):
-        got = {(r.k, r.t): (r.high, r.low, r.prev, r.total) for r in ordered.running(rows, ["k"], [F.col("t")], values, 8, inclusive).collect()}
+    for inclusive, hot in ((False, 100), (True, 100), (False, 10_000)):
+        got = {(r.k, r.t): (r.high, r.low, r.prev, r.total) for r in ordered.running(rows, ["k"], [F.col("t")], values, 8, inclusive, hot).collect()}
         for k in ("a", "b", "c", None):
             seen = []
             for _, t, v in sorted((r for r in _rows() if r[0] == k), key=lambda r: r[1]):
@@ -46,7 +46,7 @@ def test_asof(spark):
     args = spark.createDataFrame(left, "k string, t int"), spark.createDataFrame(right, "k string, t int, v string")
     times = {k: sorted(t for o, t, _ in right if o == k and t is not None) for k in ("a", None, "z")}
     for forward in (False, True):
-        got = sorted(ordered.asof(*args, ["k"], "t", ["v"], forward, 6).collect(), key=str)
+        got = sorted(ordered.asof(*args, ["k"], "t", ["v"], forward, 6, 50 if forward else 10_000).collect(), key=str)
         want = []
         for k, t in left:
             at = -1 if t is None else bisect.bisect_left(times[k], t) if forward else bisect.bisect_right(times[k], t) - 1
