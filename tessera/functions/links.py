@@ -20,8 +20,8 @@ LABEL = (
 
 
 def hostname(url: Column) -> Column:
-    """The host in lower case, with or without a scheme, port or user, whatever characters the path or the host holds; null if there is none."""
-    return F.nullif(F.lower(F.regexp_extract(url, r"^(?:[^/?#]*?://)?(?:[^/?#]*@)?([^/?#@:]*)", 1)), F.lit(""))
+    """The host in lower case, with or without a scheme, port or user, whatever characters the path or the host holds, without the brackets of a numeric one; null if there is none."""
+    return F.nullif(F.translate(F.lower(F.regexp_extract(url, r"^(?:[^/?#]*?://)?(?:[^/?#]*@)?(\[[^/?#@\]]*\]|[^/?#@:\[]*)", 1)), "[]", ""), F.lit(""))
 
 
 def under(host: Column, domain: Column) -> Column:
@@ -33,6 +33,12 @@ def is_piracy(host: Column) -> Column:
     return F.exists(F.array(*map(F.lit, PIRACY_HOSTS)), lambda bad: under(host, bad))
 
 
+def suffixes(host: Column) -> Column:
+    """The host and all that it lies under, longest first: a.b.c, b.c, c."""
+    parts = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+
+
 def is_trusted(url: Column, official: Column) -> Column:
     """The issuer's own domain or a trusted end, but never a piracy host, whatever its end."""
     host = hostname(url)
@@ -43,8 +49,10 @@ def is_pdf(url: Column) -> Column:
     return F.contains(F.lower(url), F.lit(".pdf"))
 
 
-def is_report_link(href: Column, label: Column, link: str = LINK, text: str = LABEL) -> Column:
-    return F.coalesce(href, F.lit("")).rlike(link) & label.rlike(text)
+def is_report_link(href: Column, label: Column, link: str = LINK, text: str = LABEL, strict: bool = True) -> Column:
+    """Both the target and the label match; either, unless strict."""
+    target, name = F.coalesce(href, F.lit("")).rlike(link), F.coalesce(label, F.lit("")).rlike(text)
+    return target & name if strict else target | name
 
 
 def resolve(base: Column, href: Column) -> Column:

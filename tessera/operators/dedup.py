@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructField
 
 from tessera.functions.text import content_hash
 
 
+def _named(field: StructField) -> Column:
+    return F.col("`" + field.name.replace("`", "``") + "`")
+
+
 def hashed(items: DataFrame, text_col: str) -> DataFrame:
     """items with their content hash, which is never null (and said not to be, or a join would hash once more to see)."""
     return items.withColumn("content_hash", F.coalesce(content_hash(F.coalesce(F.col(text_col), F.lit(""))), F.lit("")))
@@ -19,7 +24,7 @@ def new_items(items: DataFrame, text_col: str, order_col: str, seen: DataFrame |
     The winners are found on hashes and order alone, with map-side combination, so a hash that a third of all rows
     share neither meets in one task nor carries its texts through the shuffle.
     """
-    place = F.struct(F.col(order_col).isNull().alias("late"), F.col(order_col).alias("order"), F.xxhash64(*items.columns).alias("tie"))
+    place = F.struct(F.col(order_col).isNull().alias("late"), F.col(order_col).alias("order"), F.xxhash64(*(F.map_entries(_named(f)) if isinstance(f.dataType, MapType) else _named(f) for f in items.schema)).alias("tie"))
     rows = hashed(items, text_col).withColumn("_place", place)
     first = rows.groupBy("content_hash").agg(F.min("_place").alias("_first"))
     if seen is not None:

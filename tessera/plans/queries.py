@@ -236,6 +236,16 @@ def trusted_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", L.hostname(F.col("url")).alias("host"), L.is_piracy(L.hostname(F.col("url"))).alias("piracy"), L.is_trusted(F.col("url"), F.lit("example.net")).alias("trusted"))
 
 
+@query(f"""WITH p AS (SELECT page_id, {_HOST} AS host FROM pages), l AS (SELECT host FROM p GROUP BY host HAVING min(page_id) % 3 = 0 UNION SELECT 'example.net'),
+e AS (SELECT host, list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')) AS ends FROM (SELECT DISTINCT host FROM p))
+SELECT page_id, (SELECT l.host FROM l WHERE list_contains(e.ends, l.host) ORDER BY length(l.host) DESC LIMIT 1) AS blocked_by FROM p JOIN e USING (host)""")
+def blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "pages").select("page_id", "url")
+    own = p.groupBy(L.hostname(F.col("url")).alias("host")).agg(F.min("page_id").alias("first")).filter("first % 3 = 0").select("host")
+    listed = own.unionByName(spark.createDataFrame([("example.net",)], "host string"))
+    return discovery.blocked(p, "url", listed).select("page_id", "blocked_by")
+
+
 _HITS = "SELECT page_id // 5 AS q, page_id % 5 AS pos, CASE page_id % 4 WHEN 0 THEN 'https://scribd.com/' || page_id || '.pdf' WHEN 1 THEN url WHEN 2 THEN 'https://r.org/' || page_id || '.pdf' ELSE 'https://ir.bao.vn/' || page_id || '.PDF' END AS href FROM pages"
 
 
@@ -566,10 +576,12 @@ def table_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CRAWL = f"""WITH picked AS (SELECT q, {_PICK} AS found FROM ({_HITS}) GROUP BY q),
 cache AS (SELECT q, 'cached:' || q AS hit FROM picked WHERE q % 4 = 1 AND q % 60 > 14),
-r AS (SELECT 'T' || p.q AS ticker, p.q AS pos, coalesce(hit, found) AS url, hit IS NULL AND p.q % 2 = 0 AND p.q >= (SELECT max(q) FROM picked) - 6 AS halts FROM picked p LEFT JOIN cache USING (q)),
-t AS (SELECT *, CASE WHEN pos % 11 <> 5 THEN 'h' || CASE WHEN pos % 3 = 0 THEN pos // 2 * 2 ELSE pos END END AS hash FROM r WHERE pos < coalesce((SELECT min(pos) FROM r WHERE halts), 1000000000)),
+a AS (SELECT q, q AS pos, 1 AS nth FROM picked UNION ALL SELECT q, (SELECT max(q) FROM picked), 2 FROM picked WHERE q % 5 = 0),
+r AS (SELECT 'T' || p.q AS ticker, p.q AS q, a.pos, a.nth, coalesce(hit, found) AS url, hit IS NULL AND p.q % 2 = 0 AND p.q >= (SELECT max(q) FROM picked) - 6 AS halts FROM a JOIN picked p USING (q) LEFT JOIN cache ON cache.q = p.q),
+n AS (SELECT *, row_number() OVER (ORDER BY pos, ticker, nth) AS i FROM r),
+t AS (SELECT *, CASE WHEN q % 11 <> 5 THEN 'h' || CASE WHEN q % 3 = 0 THEN q // 2 * 2 ELSE q END END AS hash FROM n WHERE i < coalesce((SELECT min(i) FROM n WHERE halts), 1000000000)),
 d AS (SELECT 'T' || q || '_2024' AS doc_id, CASE WHEN q % 14 = 0 THEN 'h' || (q + 1) END AS content_hash, CASE WHEN q % 21 = 0 THEN 'COMPLETED' ELSE 'PENDING' END AS state FROM picked WHERE q % 7 = 0),
-o AS (SELECT ticker, pos, url, hash, CASE WHEN url IS NULL THEN 'skipped' WHEN hash IS NULL THEN 'failed' WHEN hash IN (SELECT content_hash FROM d WHERE content_hash IS NOT NULL) OR pos > min(CASE WHEN url IS NOT NULL THEN pos END) OVER (PARTITION BY hash) THEN 'skipped' WHEN state = 'COMPLETED' THEN 'failed' ELSE 'saved' END AS outcome, state FROM t LEFT JOIN d ON d.doc_id = ticker || '_2024')"""
+o AS (SELECT ticker, pos, url, hash, CASE WHEN url IS NULL THEN 'skipped' WHEN hash IS NULL THEN 'failed' WHEN hash IN (SELECT content_hash FROM d WHERE content_hash IS NOT NULL) OR i > min(CASE WHEN url IS NOT NULL THEN i END) OVER (PARTITION BY hash) THEN 'skipped' WHEN state = 'COMPLETED' THEN 'failed' ELSE 'saved' END AS outcome, state FROM t LEFT JOIN d ON d.doc_id = ticker || '_2024')"""
 
 
 def _crawl(spark: SparkSession, sf_dir: str) -> runs.Crawl:
@@ -583,7 +595,9 @@ def _crawl(spark: SparkSession, sf_dir: str) -> runs.Crawl:
     h = F.concat(F.lit("h"), F.when(F.col("q") % 3 == 0, F.expr("q div 2 * 2")).otherwise(F.col("q")).cast("string"))
     files = urls.select("url", h.alias("content_hash"), F.when(F.col("q") % 11 == 5, "timed out").alias("error"))
     documents = asked.filter("q % 7 = 0").select(lifecycle.doc_key(F.col("ticker"), F.col("year")).alias("doc_id"), F.lit(None).cast("string").alias("pdf_type_flag"), F.when(F.col("q") % 14 == 0, F.concat(F.lit("h"), (F.col("q") + 1).cast("string"))).alias("content_hash"), F.lit(None).cast("string").alias("storage_path"), F.when(F.col("q") % 21 == 0, "COMPLETED").otherwise("PENDING").alias("state"))
-    return runs.crawl_reports(asked.withColumnRenamed("q", "pos"), cache, hits, quota, files, documents, F.expr("timestamp '2024-02-15'"))
+    # Every fifth is asked twice, the second time together with the last of all.
+    twice = asked.join(F.broadcast(last), F.lit(True)).filter("q % 5 = 0").select("ticker", "year", F.col("last").alias("q"))
+    return runs.crawl_reports(asked.unionByName(twice).withColumnRenamed("q", "pos"), cache, hits, quota, files, documents, F.expr("timestamp '2024-02-15'"))
 
 
 @query(_CRAWL + " SELECT ticker, pos, url, outcome FROM o")
@@ -610,12 +624,13 @@ def scan_quantitative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("value", F.round("value", 0)).unionByName(counted)
 
 
-@query(f"WITH d AS (SELECT doc_id, lang, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS feed, {_HASH} AS h FROM documents) SELECT CASE feed WHEN 0 THEN 'rest' ELSE 'en' END AS source, doc_id, h AS content_hash FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY feed, doc_id) AS r FROM d WHERE h NOT IN (SELECT h FROM d WHERE lang = 'de')) WHERE r = 1")
+@query(f"WITH d AS (SELECT doc_id, lang, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS feed, CASE WHEN doc_id % 3 > 0 THEN doc_id END AS link, {_HASH} AS h FROM documents) SELECT CASE feed WHEN 0 THEN 'rest' ELSE 'en' END AS source, coalesce(link, -1) AS link, h AS content_hash FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY feed, link NULLS LAST) AS r FROM d WHERE h NOT IN (SELECT h FROM d WHERE lang = 'de')) WHERE r = 1")
 def poll_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    d = d.withColumn("link", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")))
     feeds = {"rest": d.filter("lang is distinct from 'en'"), "en": d.filter("lang = 'en'")}
-    new, _ = runs.poll_news(feeds, "text", "doc_id", dedup.hashed(d.filter("lang = 'de'"), "text"))
-    return new.select("source", "doc_id", "content_hash")
+    new, _ = runs.poll_news(feeds, "text", "link", dedup.hashed(d.filter("lang = 'de'"), "text"))
+    return new.select("source", F.coalesce("link", F.lit(-1)).alias("link"), "content_hash")
 
 
 # --- streams, drained ------------------------------------------------------------------------------------------------

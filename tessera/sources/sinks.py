@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.operators.metrics import ALERT
+from tessera.sources.shared import cut
 
 PARTS = ("ticker", "fiscal_year")
 
@@ -30,9 +31,10 @@ def write_csv(frame: DataFrame, path: str) -> None:
 
 
 def split_rejects(rows: DataFrame, good: str, reject_path: str) -> DataFrame:
-    """The rows that meet the condition `good`; the others go to reject_path."""
-    rows.filter(~F.coalesce(F.expr(good), F.lit(False))).write.mode("append").parquet(reject_path)
-    return rows.filter(good)
+    """The rows that meet the condition `good`; the others go to reject_path. The rows are computed once, and held in shared storage for both."""
+    held = cut(rows.withColumn("_good", F.coalesce(F.expr(good), F.lit(False))))
+    held.filter("not _good").drop("_good").write.mode("append").parquet(reject_path)
+    return held.filter("_good").drop("_good")
 
 
 def alert(failed: int, total: int, webhook: str | None, post: Callable[[str, bytes], None] | None = None) -> bool:

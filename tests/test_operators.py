@@ -47,6 +47,13 @@ def test_trusted_hosts(spark):
     assert [r[0] for r in rows.select(L.is_trusted(F.col("u"), F.col("o"))).collect()] == [True, True, False, False, True, False, False]
 
 
+def test_blocklist(spark):
+    rows = spark.createDataFrame([(1, "https://a.b.example.com/x"), (2, "http://EXAMPLE.com:80"), (3, "https://myexample.com"), (4, "https://[::1]:80/x"), (5, None), (6, "https://b.example.com")], "id int, u string")
+    listed = spark.createDataFrame([("example.com",), ("Example.com",), ("b.example.com",), ("::1",), ("net",)], "host string")
+    got = {r.id: r.blocked_by for r in discovery.blocked(rows, "u", listed).collect()}
+    assert got == {1: "b.example.com", 2: "example.com", 3: None, 4: "::1", 5: None, 6: "b.example.com"}
+
+
 def test_pick_report(spark):
     hits = [(1, 0, "https://scribd.com/vnm.pdf", "vinamilk.com.vn"), (1, 1, "https://news.vn/article", "vinamilk.com.vn"), (1, 2, "https://random.org/x.pdf", "vinamilk.com.vn"), (1, 3, "https://ir.vinamilk.com.vn/bctn.pdf", "vinamilk.com.vn"), (2, 0, "https://123doc.vn/a.pdf", "fpt.com.vn"), (2, 1, "https://fpt.com/r.pdf", "fpt.com.vn"), (3, 0, "https://scribd.com/a.pdf", "x.com.vn"), (4, 10, "https://a.vn/a.pdf", "x.com.vn")]
     got = dict(map(tuple, discovery.pick_report(spark.createDataFrame(hits, "q int, pos int, href string, official_domain string"), "q").collect()))
@@ -56,7 +63,13 @@ def test_pick_report(spark):
 def test_document_links(spark):
     html = '<a class="x" href="/f/download.ashx?id=3">Annual <b>report</b> 2023</a><a href="b.pdf">other</a><A HREF=\'../bctn.pdf\'> BCTN </A>'
     got = discovery.document_links(spark.createDataFrame([(1, "https://h.vn/a/b/c", html), (2, "https://h.vn", None)], "id int, url string, html string"), "id", "url", "html").collect()
-    assert [(r.pos, r.href, r.label) for r in got] == [(0, "https://h.vn/f/download.ashx?id=3", "Annualreport2023"), (2, "https://h.vn/a/bctn.pdf", "BCTN")] or [(r.pos, r.href) for r in got] == [(0, "https://h.vn/f/download.ashx?id=3"), (2, "https://h.vn/a/bctn.pdf")]
+    assert [(r.pos, r.href, r.label) for r in got] == [(0, "https://h.vn/f/download.ashx?id=3", "Annualreport2023"), (2, "https://h.vn/a/bctn.pdf", "BCTN")]
+
+
+def test_links_of_which_one_side_matches(spark):
+    pages = spark.createDataFrame([(1, "https://h.vn", '<a href="/a.pdf">other</a><a href="/b">BCTN</a><a href="/c">c</a>')], "id int, url string, html string")
+    for strict, want in ((True, []), (False, ["https://h.vn/a.pdf", "https://h.vn/b"])):
+        assert [r.href for r in discovery.document_links(pages, "id", "url", "html", strict=strict).collect()] == want
 
 
 def test_cached_search(spark):
@@ -210,7 +223,7 @@ def test_texts_are_folded_and_chunked_once(spark):
     plan = taxonomy.tagged(docs, "raw_text", WORDS)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and plan.count("run(raw_text") == 1
     plan = records.build(docs, WORDS)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 2  # texts and tables
+    assert plan.count("ArrowEvalPython") == 3  # texts are chunked, tables split, and both tagged after that
 
 
 def test_links_of_any_writing(one):
