@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm import _text as tx
 
@@ -202,7 +203,7 @@ def decode(ids: np.ndarray, table: np.ndarray, starts: np.ndarray) -> np.ndarray
     return table[tx.gather(starts[ids], (starts[1:] - starts[:-1])[ids])]
 
 
-def _round(path: str, pattern: str, digest: bool):
+def _round(path: str, pattern: str, digest: bool, keep: tuple[str, ...] = ()):
     def run(batches):
         encoder, words = tiktoken_encoder(path, pattern)
         starts = np.concatenate(([0], np.cumsum([len(w) for w in words])))
@@ -230,7 +231,8 @@ def _round(path: str, pattern: str, digest: bool):
                     width = np.concatenate(([0], np.cumsum(encoder.widths[ids])))[ends]
                     raw = raw.tobytes()
                     cols.append(tx.strings([raw[a:b] for a, b in zip(width[:-1].tolist(), width[1:].tolist(), strict=True)]))
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded"))])
+                cols += [batch.column(2 + i).slice(lo, hi - lo) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")), *keep])
 
     return tx.released(run)
 
@@ -240,14 +242,15 @@ def _select(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str
     return docs, docs.schema["doc_id"].dataType.simpleString()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_tokens, ids (array of int), without special tokens, and decoded (the text that the ids' bytes make).
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each row of docs: doc_id, n_tokens, ids (array of int), without special tokens, decoded (the text that the ids' bytes make), and the columns in keep (names without dots, other than these).
 
     A null text is an empty one, with no ids; ids of rows may be null or repeat; other columns are ignored. Every
     slice is decoded again and must give back its bytes.
     """
-    docs, kind = _select(docs, id_col, text_col)
-    return docs.mapInArrow(_round(path, pattern, False), f"doc_id {kind}, n_tokens long, ids array<int>, decoded string")
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
+    fields = [T.StructField("doc_id", own.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    return own.mapInArrow(_round(path, pattern, False, keep), T.StructType([*fields, *(own.schema[c] for c in keep)]))
 
 
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -129,3 +129,19 @@ def test_stages_on_odd_rows(spark):
             assert sorted(map(str, out.select("doc_id", "text", "gone", "_p0", "row").collect())) == sorted(map(str, docs.select("doc_id", "text", "gone", "_p0", "row").collect())), name
         assert stage(spark, docs.filter("false"), DIR).count() == 0
     assert {r.n for r in corpus_pipeline.drop_lines(spark, docs, DIR).filter("doc_id = 4").select(F.col("n_chars").alias("n")).collect()} == {len(text)}
+
+
+def test_columns_of_any_name_and_ids_of_several_texts(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, long, 1, "x", "a"), (5, long, 2, "y", "b"), (5, other, 3, "z", "c"), (5, other, 3, "z", "d"), (7, other + " end", 4, "q", "e"), (None, long, 5, "n", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, ids string, `c0` string")
+    stages = dict(corpus_pipeline.STAGES)
+    assert sorted(r["c0"] for r in stages["near-dedup"](spark, docs, DIR).collect()) == ["a", "e", "f"]
+    assert sorted(r["c0"] for r in stages["near-dedup"](spark, docs.filter("doc_id <> 7 or doc_id is null"), DIR).collect()) == ["a", "c", "d", "f"]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, DIR)
+        if name == "encoding":
+            assert set(out.columns) == {"doc_id", "n_tokens", "ids", "decoded", "a.b", "c0"} and {r["c0"]: (r["a.b"], r["decoded"]) for r in out.collect()} == {r[4]: (r[2], r[1]) for r in rows}
+        else:
+            assert out.columns == docs.columns and {r["a.b"] for r in out.collect()} <= {1, 2, 3, 4, 5}
