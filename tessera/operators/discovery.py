@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import links as L
+from tessera.sources.fetched import SEARCH
 
 # Hits per query, and how long a found link is kept.
 MAX_RESULTS, CACHE_DAYS = 10, 30
@@ -35,7 +36,7 @@ def with_domain(tickers: DataFrame, domains: DataFrame) -> DataFrame:
 
 
 def search_query(ticker: Column, year: Column) -> Column:
-    return F.concat(ticker, F.lit(' "bao cao thuong nien" OR "bao cao phat trien ben vung" '), year.cast("string"), F.lit(" filetype:pdf"))
+    return F.format_string(SEARCH.replace("{}", "%s"), ticker, year.cast("string"))
 
 
 def cached_search(requests: DataFrame, cache: DataFrame, hits: DataFrame, now: Column, days: int = CACHE_DAYS) -> DataFrame:

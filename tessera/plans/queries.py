@@ -6,8 +6,6 @@ portals, orders and line items for statements, events for prices, calls and life
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +15,9 @@ from tessera.operators import chunking, dedup, discovery, lifecycle, limits, met
 from tessera.plans import records, runs
 from tessera.plans import sql
 from tessera.sources import landed
-from tessera.streaming import news
+from tessera.sources import keyed
+from tessera.sources.shared import cut, drop_table, folder
+from tessera.streaming import news, state
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -131,6 +131,24 @@ def text_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "benchmark").select("item_id", records.preview(F.col("text")).alias("preview"), F.length("text").alias("n"))
 
 
+_REPAIRED = f"""list_transform(string_split(replace(translate(text, 'oe', '03'), 'the', 'cng'), ' '), lambda t: CASE WHEN regexp_matches(t, '\\pL') AND regexp_matches(t, '\\p{{Nd}}') AND regexp_matches(t, '[^\\P{{L}}\\p{{Lu}}]') THEN {_LEET} ELSE t END)"""
+_ITEMS = f"""SELECT item_id AS id, 'V' || item_id % 3 AS ticker, CAST(2020 + item_id % 2 AS INT) AS fiscal_year, array_to_string(list_transform({_REPAIRED}, lambda t: CASE WHEN regexp_full_match(t, '([(\\[{{"''“‘]*)([cC][nN][gG])([.,;:!?)\\]}}"''”’]*)', 's') THEN regexp_replace(t, '[cC][nN][gG]', CASE WHEN regexp_matches(t, 'C[nN][gG]') THEN 'Cong' ELSE 'cong' END) ELSE t END), ' ') AS raw FROM benchmark"""
+
+
+@query(
+    sql.chunks(_ITEMS)
+    + f""", r AS (SELECT id, ticker, fiscal_year, 0 AS source_ord, CAST(pos - 1 AS INT) AS chunk_pos, h, t, CAST(n AS INT) AS n, 'TEXT' AS src FROM chunked UNION ALL SELECT item_id, 'V' || item_id % 3, CAST(2020 + item_id % 2 AS INT), 1, i * 100000, 'Bang du lieu', CASE i WHEN 0 THEN 'Name: with ' || item_id ELSE 'Name: plain' END, CASE i WHEN 0 THEN 3 ELSE 2 END, 'TABLE' FROM benchmark, (VALUES (0), (1)) v(i))
+SELECT id AS item_id, ticker, fiscal_year, CAST(source_ord AS INT) AS source_ord, chunk_pos, h AS heading_context, t AS filtered_chunk_text, n AS token_count, {sql.tags('norm', WORDS)} AS matched_tags, src AS chunk_source FROM (SELECT *, {sql.normal('t')} AS norm FROM r) WHERE {sql.tags('norm', WORDS)} <> ''"""
+)
+def esg_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole records: misread texts that are repaired first, and tables beside them."""
+    b, i = read(spark, sf_dir, "benchmark"), F.col("item_id")
+    tables_ = F.array(F.concat(F.lit("Name: with "), i.cast("string")), F.lit("Name: plain"))
+    raw = F.replace(F.translate("text", "oe", "03"), F.lit("the"), F.lit("cng"))
+    docs = b.select("item_id", F.concat(F.lit("V"), (i % 3).cast("string")).alias("ticker"), (2020 + i % 2).cast("int").alias("fiscal_year"), raw.alias("raw_text"), tables_.alias("tables"), F.lit(None).cast("string").alias("heading_context"), F.lit(True).alias("normalize_ocr"))
+    return _flat(records.build(docs, WORDS, keep=("item_id",)))
+
+
 # --- taxonomy ----------------------------------------------------------------------------------------------------
 
 _CATEGORIES = list(dict.fromkeys(w.category for w in WORDS))
@@ -341,8 +359,12 @@ def monthly_ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(spark, sf_dir)
 
 
+def _overview(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("click", "1000"), ("view", "n/a"), ("error", "0"), ("signup", "25.5"), ("other", "7")], "symbol string, issue_share string")
+
+
 def _shares(spark: SparkSession) -> DataFrame:
-    return quant.shares(spark.createDataFrame([("click", "1000"), ("view", "n/a"), ("error", "0"), ("signup", "25.5"), ("other", "7")], "symbol string, issue_share string"))
+    return quant.shares(_overview(spark))
 
 
 _SHARES = "(VALUES ('click', 1000.0::DOUBLE), ('view', NULL), ('error', 0.0), ('signup', 25.5), ('other', 7.0)) s(symbol, shares)"
@@ -360,6 +382,18 @@ def quant_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quant.summary(_bars(spark, sf_dir), _shares(spark), years).withColumn("market_cap_est", F.round("market_cap_est", 4))
 
 
+@query(f"""WITH l AS ({_LONG}), b AS ({_BARS}), m AS (SELECT symbol, CAST(year(month) * 100 + month(month) AS INT) AS period, close * shares AS v FROM b LEFT JOIN {_SHARES} USING (symbol)), e AS (SELECT symbol, arg_max(close, month) AS close FROM b GROUP BY symbol)
+SELECT 'yearly' AS part, symbol, year AS period, round(ta, 0) AS value FROM l UNION ALL SELECT 'monthly', symbol, period, round(v, 4) FROM m
+UNION ALL SELECT 'summary', symbol, 0, CASE WHEN close <> 0 AND shares <> 0 THEN round(close * shares, 4) END FROM e FULL JOIN {_SHARES} USING (symbol)""")
+def factor_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    income, balance = _statements(spark, sf_dir)
+    parts = quant.factor_inputs(income, balance, _bars(spark, sf_dir), _overview(spark))
+    yearly = parts["yearly"].select(F.lit("yearly").alias("part"), "symbol", F.col("year").alias("period"), F.round("total_assets", 0).alias("value"))
+    monthly = parts["monthly"].select(F.lit("monthly").alias("part"), "symbol", (F.year("month") * 100 + F.month("month")).alias("period"), F.round("market_equity", 4).alias("value"))
+    total = parts["summary"].select(F.lit("summary").alias("part"), "symbol", F.col("years_of_financials").cast("int").alias("period"), F.round("market_cap_est", 4).alias("value"))
+    return yearly.unionByName(monthly).unionByName(total)
+
+
 # --- limits and lifecycle ----------------------------------------------------------------------------------------
 
 
@@ -637,13 +671,11 @@ def poll_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if (spark.sparkContext.master or "").split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="tessera-stream-")
-    at = f"{root.rstrip('/')}/stream-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
-    return news.drained(stream, f"{at}/out", f"{at}/state")
+    """What the stream makes of all that has landed; its folders are removed once that is kept."""
+    at = folder(spark, "stream")
+    out = cut(news.drained(stream, f"{at}/out", f"{at}/state"))
+    drop_table(spark, at)
+    return out
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -665,12 +697,53 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_window_sql(86_400) + " SELECT user_id, CAST(n AS INT) AS n, n <= 1 AS allowed FROM n")
 def stream_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drained(spark, news.rate_limited(_stream(spark, sf_dir, "events"), "user_id", "ts", 1, 86_400)).select(F.col("key").alias("user_id"), "n", "allowed")
+    return _drained(spark, state.rate_limited(_stream(spark, sf_dir, "events"), "user_id", "ts", 1, 86_400)).select(F.col("key").alias("user_id"), "n", "allowed")
 
 
 @query(_FOLD + " SELECT user_id, b.id AS event_id, b.src AS src, b.dst AS dst FROM (SELECT user_id, unnest(r.bad) AS b FROM f)")
 def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _stream(spark, sf_dir, "events")
     dst = F.when(F.col("event_id") % 31 == 0, lifecycle.ERROR).otherwise(F.element_at(F.array(*map(F.lit, lifecycle.STATES)), (1 + F.col("event_id") % 8).cast("int")))
-    rows = _drained(spark, news.lifecycle(e.select("user_id", "event_id", dst.alias("dst")), "user_id", "event_id", "dst"))
+    rows = _drained(spark, state.lifecycle(e.select("user_id", "event_id", dst.alias("dst")), "user_id", "event_id", "dst"))
     return rows.filter("not ok").select(F.col("key").alias("user_id"), F.col("seq").alias("event_id"), "src", "dst")
+
+
+# --- written tables ----------------------------------------------------------------------------------------------------
+
+
+@query("""WITH u AS (SELECT doc_id, source, lang, length(text) AS n FROM documents), a AS (SELECT 'D' || doc_id AS k, source, CASE WHEN n % 3 > 0 THEN lang END AS lang FROM u WHERE doc_id % 2 = 0),
+b AS (SELECT 'D' || doc_id AS k, CASE WHEN n % 5 > 0 THEN source || '/' || lang END AS path, CASE WHEN n % 7 > 0 THEN 'en' END AS lang FROM u WHERE doc_id % 3 = 0)
+SELECT coalesce(a.k, b.k) AS doc_id, coalesce(a.source, '-') AS ticker, coalesce(b.path, '-') AS storage_path, coalesce(b.lang, a.lang, '-') AS pdf_type_flag, 'PENDING' AS state FROM a FULL JOIN b ON a.k = b.k""")
+def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("key"), "doc_id", "source", "lang", F.length("text").alias("n"))
+    at = folder(spark, "documents")
+    table = keyed.documents(spark, at)
+    table.upsert(d.filter("doc_id % 2 = 0").select(F.col("key").alias("doc_id"), F.col("source").alias("ticker"), F.when(F.col("n") % 3 > 0, F.col("lang")).alias("pdf_type_flag")), {"state": lifecycle.STATES[0]})
+    table.upsert(d.filter("doc_id % 3 = 0").select(F.col("key").alias("doc_id"), F.when(F.col("n") % 5 > 0, F.concat("source", F.lit("/"), "lang")).alias("storage_path"), F.when(F.col("n") % 7 > 0, "en").alias("pdf_type_flag")), {"state": lifecycle.STATES[0]})
+    named = lambda c: F.coalesce(c, F.lit("-")).alias(c)
+    out = cut(table.read().select("doc_id", named("ticker"), named("storage_path"), named("pdf_type_flag"), "state"))
+    drop_table(spark, at)
+    return out
+
+
+@query(f"SELECT h AS content_hash, arg_min(doc_id, (doc_id % 2, doc_id)) AS doc_id FROM (SELECT doc_id, {_HASH} AS h FROM documents) GROUP BY h")
+def feed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News that land in two steps, streamed into a table; the second run takes up the stream where the first ended."""
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    at = folder(spark, "feed")
+    table = keyed.KeyedTable(spark, f"{at}/table", "content_hash string, doc_id bigint", "content_hash")
+    for step in (0, 1):
+        d.filter(F.col("doc_id") % 2 == step).write.mode("append").parquet(f"{at}/landed")
+        stream = dedup.hashed(news.items(spark, f"{at}/landed", "doc_id bigint, text string"), "text")
+        news.into_table(stream.select("content_hash", "doc_id"), table, f"{at}/state")
+    out = cut(table.read())
+    drop_table(spark, at)
+    return out
+
+
+@query("SELECT CAST(i AS INT) AS attempt, doc_id, CASE WHEN doc_id % 7 < i THEN 'done' ELSE 'failed' END AS outcome FROM documents, (VALUES (1), (2), (3)) v(i) WHERE i = 1 OR doc_id % 7 >= i - 1")
+def attempts_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select("doc_id")
+    work = lambda rows, n: rows.withColumn("error", F.when(F.col("doc_id") % 7 >= n, "busy"))
+    _, ledger = runs.attempts(d, "doc_id", work)
+    return ledger.select("attempt", "doc_id", F.when(F.col("error").isNull(), "done").otherwise("failed").alias("outcome"))

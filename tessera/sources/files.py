@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -63,6 +64,25 @@ def extracted(files: DataFrame, text: Callable[[bytes], tuple[str, list[str]]] |
     return files.select("path", "content", "pdf_type_flag").mapInPandas(run, EXTRACTED)
 
 
+def saved(files: DataFrame, base: str) -> DataFrame:
+    """(path, length) of files (folder, name, content), each written under base, a folder that the executors share, by a safe name; a file is there whole or not at all, and writing it again replaces it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for folder, name, content in zip(batch["folder"], batch["name"], batch["content"], strict=True):
+                to = safe_join(base, folder, name)
+                os.makedirs(os.path.dirname(to), exist_ok=True)
+                staged = f"{to}.{uuid.uuid4().hex}"
+                with open(staged, "wb") as f:
+                    f.write(content)
+                os.replace(staged, to)
+                out.append((to, len(content)))
+            yield pd.DataFrame(out, columns=["path", "length"])
+
+    return files.select("folder", safe_name(F.col("name")).alias("name"), "content").mapInPandas(run, "path string, length bigint")
+
+
 def joined_pages(pages: DataFrame, key: str, separator: str = "\n\n", most: int | None = None) -> DataFrame:
     """(key, raw_text) from (key, page, text), pages up to `most`."""
     if most:

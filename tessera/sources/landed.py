@@ -26,13 +26,13 @@ FEEDS = {"CafeF - Doanh nghiep": "https://cafef.vn/tin-kinh-te-vi-mo.rss", "Viet
 T = TypeVar("T")
 
 
-def retried(read: Callable[[], T], attempts: int = 3, least: float = 2, most: float = 10, sleep: Callable[[float], None] = time.sleep) -> T:
-    """read(), tried again after waits that double from least to most seconds; the last error is raised."""
+def retried(read: Callable[[], T], attempts: int = 3, least: float = 2, most: float = 10, sleep: Callable[[float], None] = time.sleep, final: tuple[type[Exception], ...] = ()) -> T:
+    """read(), tried again after waits that double from least to most seconds; the last error is raised, and one in `final` at once."""
     for n in range(attempts):
         try:
             return read()
-        except Exception:
-            if n + 1 == attempts:
+        except Exception as e:
+            if n + 1 == attempts or isinstance(e, final):
                 raise
             sleep(min(most, least * 2**n))
     raise ValueError("no attempts")

@@ -1,16 +1,13 @@
-"""Structured Streaming forms of news deduplication, rate limits and the document lifecycle."""
+"""Structured Streaming forms of news deduplication, and running a stream over what has landed."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tessera.operators.lifecycle import ERROR, STATES
 from tessera.operators.dedup import hashed
+from tessera.sources.keyed import KeyedTable
+from tessera.streaming.state import PROVIDER
 
 
 def items(spark: SparkSession, path: str, schema: str, per_trigger: int | None = None) -> DataFrame:
@@ -27,54 +24,30 @@ def new_items(stream: DataFrame, text_col: str, within: tuple[str, str] | None =
     return rows.dropDuplicates(["content_hash"])
 
 
-def rate_limited(stream: DataFrame, key: str, time: str, limit: int, seconds: int, delay: str = "1 hour") -> DataFrame:
-    """(key, t, n, allowed) for each call; a window starts with a key's first call, and its state goes once the watermark (calls up to `delay` late) has passed its end."""
-
-    def run(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        start, n = state.get if state.exists else (None, 0)
-        times = pd.concat([b["t"] for b in batches]).sort_values()
-        out = []
-        for t in times:
-            us = t.value // 1000
-            if start is None or us - start >= seconds * 1_000_000:
-                start, n = us, 0
-            n += 1
-            out.append((k[0], t, n, n <= limit))
-        end = start // 1000 + seconds * 1000
-        if end > state.getCurrentWatermarkMs():
-            state.update((start, n))
-            state.setTimeoutTimestamp(end)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["key", "t", "n", "allowed"])
-
-    kind = stream.schema[key].dataType.simpleString()
-    rows = stream.select(F.col(key).alias("key"), F.col(time).cast("timestamp").alias("t")).withWatermark("t", delay)
-    return rows.groupBy("key").applyInPandasWithState(run, f"key {kind}, t timestamp, n int, allowed boolean", "start bigint, n int", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def lifecycle(stream: DataFrame, key: str, seq: str, state_col: str) -> DataFrame:
-    """(key, seq, src, dst, ok) for each event, in order within each trigger: the state moves when ok; the others are for the dead letters."""
+def into_table(stream: DataFrame, table: KeyedTable, checkpoint: str) -> None:
+    """Runs the stream over all that has landed, into the table: of each key that it doesn't hold yet a trigger's first row (by its other columns). A batch that comes again adds nothing, so a run that died is simply run again."""
+    columns = [f.name for f in table.schema if f.name in stream.columns and f.name != table.key]
 
-    def run(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now, out = (state.get[0] if state.exists else STATES[0]), []
-        rows = pd.concat(list(batches)).sort_values(["seq", "dst"])
-        for n, dst in zip(rows["seq"], rows["dst"], strict=True):
-            ok = dst == ERROR or (now != ERROR and dst in STATES and STATES.index(dst) > STATES.index(now))
-            out.append((k[0], n, now, dst, ok))
-            now = dst if ok else now
-        state.update((now,))
-        yield pd.DataFrame(out, columns=["key", "seq", "src", "dst", "ok"])
+    def add(rows: DataFrame, _: int) -> None:
+        first = rows.groupBy(table.key).agg(F.min(F.struct(*columns)).alias("_r")).select(table.key, "_r.*")
+        table.upsert(first.join(table.read().select(table.key), table.key, "left_anti"))
 
-    kind = stream.schema[key].dataType.simpleString()
-    rows = stream.select(F.col(key).alias("key"), F.col(seq).cast("bigint").alias("seq"), F.col(state_col).alias("dst"))
-    return rows.groupBy("key").applyInPandasWithState(run, f"key {kind}, seq bigint, src string, dst string, ok boolean", "state string", "append", GroupStateTimeout.NoTimeout)
+    stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def drained(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Runs the stream over all that has landed, into Parquet at path, and reads that; run again, it takes up what is new."""
-    stream.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    conf = stream.sparkSession.conf
+    before = {k: conf.get(k, None) for k in PROVIDER}
+    for k, v in PROVIDER.items():
+        conf.set(k, v)
+    try:
+        _run(stream, path, checkpoint, mode)
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     return stream.sparkSession.read.parquet(path)
+
+
+def _run(stream: DataFrame, path: str, checkpoint: str, mode: str) -> None:
+    stream.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
