@@ -9,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tessera.llm import _text as tx
-from tessera.llm import chunkdedup, linear, pii, quality
+from tessera.llm import chunkdedup, linear, linededup, minhash, pii, quality, queries, toxicity
+from tests.llm.test_pipeline import _plain_scores
 
 # The patterns of the base spans.
 BASE = {
@@ -139,6 +140,70 @@ def test_quality_scores_follow_the_model(spark):
         assert np.allclose(p, (got[r.doc_id].p_text, got[r.doc_id].p_metadata, got[r.doc_id].p_quality))
 
 
+def _probabilities(views, features):
+    """Each view's answer for one document's features, in plain arithmetic."""
+    table, meta_w, mean, sd, dense, scale, _ = views.packed()
+    cells, shape, meta = features
+    z = [sum(table[c] for c in sorted(set(cells.tolist()))) + float((shape - mean) / sd @ dense[0][:-1]) + dense[0][-1], sum(meta_w[m] for m in sorted(set(meta.tolist()))) + dense[1][-1]]
+    return [1 / (1 + math.exp(-(min(30, max(-30, z[v])) * scale[v][0] + scale[v][1]))) for v in (0, 1)]
+
+
+def test_views_exchange_the_surest_of_all(spark):
+    at, handed = "/root/testdata/sf0.001", 12
+    docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+    got = quality.train(docs, labels, "quality", handed=handed)
+    features = {}
+    for r in docs.select("doc_id", "text", "source", "lang").collect():
+        raw = np.frombuffer((r.text or "").encode(), np.uint8)
+        offs = np.array([0, len(raw)])
+        cell, _, shape, meta = quality._views(raw, offs, [[r.source], [r.lang]])
+        features[r.doc_id] = cell, shape[0], meta[0]
+    known = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in features}
+    gather = lambda ids: ([features[i][0] for i in ids], np.array([features[i][1] for i in ids]).reshape(len(ids), 7), [features[i][2] for i in ids])
+    first = sorted(known)
+    views = quality.Views(*gather(first), np.array([known[i] for i in first]))
+    given, met = set(), 0
+    for _ in range(quality.ROUNDS):
+        pool = {i: _probabilities(views, f) for i, f in features.items() if i not in known and i not in given}
+        high = round(handed * views.rate)
+        for v in (0, 1):
+            sure = [(i, 1) for i in sorted((i for i, p in pool.items() if p[v] > 0.9), key=lambda i: (-pool[i][v], i))[:high]]
+            sure += [(i, 0) for i in sorted((i for i, p in pool.items() if p[v] < 0.1), key=lambda i: (pool[i][v], i))[: handed - high]]
+            met += len({pool[i][v] for i in pool}) < len(pool)  # some are alike, and the smaller id goes first
+            if sure:
+                given |= {i for i, _ in sure}
+                label = dict(sure)
+                views.hand(1 - v, *gather(sorted(label)), np.array([float(label[i]) for i in sorted(label)]))
+        views.fit()
+    views.finish()
+    assert met and given and views.handed == got.handed
+    for a, b in zip(views.packed(), got.packed(), strict=True):
+        assert all(np.allclose(x, y, atol=1e-6) for x, y in zip(a, b, strict=True)) if isinstance(a, list) else np.allclose(a, b, atol=1e-6)
+
+
+def test_toxicity_query_word_by_word(spark):
+    at = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+    chain, _, _ = toxicity.train(docs, labels, queries.CATEGORIES)
+    plain = _plain_scores(chain, [tuple(r) for r in docs.select("doc_id", "text").collect()])
+    got = {r.doc_id: r for r in queries.op7_toxicity(spark, at).collect()}
+    assert got.keys() == plain.keys() and any(r.rejected for r in got.values())
+    assert all(abs(got[i].p_toxic - p) < 1e-9 and got[i].rejected == (p >= chain.cuts[1]) for i, p in plain.items())
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(120_000))
+    rows = [(1, "a b c d e f g"), (2, long), (3, long + " end"), (4, long + "\n" + long), (5, "w" * 400_000), (6, "\n" * 200_000)]
+    docs = spark.createDataFrame([(*r, "s", "en") for r in rows], "doc_id long, text string, source string, lang string")
+    near = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+    assert near[2] == (119_996, 2) and near[3] == (119_997, 2) and near[4][1] == 2 and near[5] == (1, 5) and near[6] == (0, 6)
+    lines = {r.doc_id: (r.n_lines, r.n_removed) for r in linededup.dedup_lines(docs).collect()}
+    assert lines == {1: (1, 0), 2: (1, 0), 3: (1, 1), 4: (2, 2), 5: (1, 0), 6: (200_001, 0)}
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (5, 0, 1), (6, 1, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.score(docs, labels, queries.CATEGORIES, "toxic").count() == 6
+    assert quality.score(docs, labels).filter("p_quality between 0 and 1").count() == 6
+
+
 def test_hashes_hold_against_structure():
     a, b = b"a", b"b"
     for _ in range(11):  # words of 2048 letters whose sums of powers are alike modulo 2**64
