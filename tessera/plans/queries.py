@@ -185,18 +185,20 @@ _TOKEN = "regexp_split_to_array({}, '[\\s\\x0b\\x1c-\\x1f\\x{{85}}\\x{{a0}}\\x{{
 @query(f"""WITH d AS (SELECT doc_id, unnest({_TOKEN.format(sql.normal("text"))}) AS w FROM documents),
 own AS (SELECT doc_id, w, count(*) AS n FROM d WHERE w <> '' GROUP BY doc_id, w),
 words AS (SELECT DISTINCT w FROM own),
-dict AS (SELECT w AS k, 'C' || length(w) % 7 AS category, 1 + length(w) % 3 AS weight FROM words WHERE length(w) BETWEEN 3 AND 40 UNION SELECT n || p, 'P', 2 FROM (SELECT {sql.normal("c_mktsegment")} AS n FROM customer GROUP BY 1), (SELECT p_partkey % 10 AS p FROM part GROUP BY 1)),
+names AS (SELECT text AS x FROM benchmark UNION ALL SELECT c_name FROM customer UNION ALL SELECT p_name FROM part UNION ALL SELECT s_name FROM supplier),
+dict AS (SELECT DISTINCT w AS k, 'C' || length(w) % 7 AS category, 1 + length(w) % 3 AS weight FROM (SELECT unnest({_TOKEN.format(sql.normal("x"))}) AS w FROM names) WHERE length(w) BETWEEN 3 AND 40),
 parts AS (SELECT DISTINCT w, substr(w, i, n) AS k FROM (SELECT w, i, unnest(range(3, least(41, length(w) - i + 2))) AS n FROM (SELECT w, unnest(range(1, length(w) - 1)) AS i FROM words))),
 hits AS (SELECT w, category, sum((length(w) - length(replace(w, k, ''))) // length(k) * weight) AS s FROM parts JOIN dict USING (k) GROUP BY w, category)
 SELECT doc_id, category, CAST(sum(s * n) AS BIGINT) AS score FROM own JOIN hits USING (w) GROUP BY doc_id, category""")
 def dictionary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents").select("doc_id", "text")
-    words = d.select(F.explode(T.tokens(T.normal(F.col("text")))).alias("keyword")).distinct()
+    names = read(spark, sf_dir, "benchmark").select(F.col("text").alias("x"))
+    for table, column in (("customer", "c_name"), ("part", "p_name"), ("supplier", "s_name")):
+        names = names.unionByName(read(spark, sf_dir, table).select(F.col(column).alias("x")))
     n = F.length("keyword")
-    own = words.filter(n.between(3, 40)).select(F.concat(F.lit("C"), (n % 7).cast("string")).alias("category"), "keyword", (1 + n % 3).alias("weight"))
-    pairs = read(spark, sf_dir, "customer").select(T.normal(F.col("c_mktsegment")).alias("n")).distinct().crossJoin(read(spark, sf_dir, "part").select((F.col("p_partkey") % 10).cast("string").alias("p")).distinct())
-    named = pairs.select(F.lit("P").alias("category"), F.concat("n", "p").alias("keyword"), F.lit(2).alias("weight"))
-    return taxonomy.joined_scores(d, ["doc_id"], "text", own.unionByName(named))
+    words = names.select(F.explode(T.tokens(T.normal(F.col("x")))).alias("keyword")).filter(n.between(3, 40))
+    dictionary = words.select(F.concat(F.lit("C"), (n % 7).cast("string")).alias("category"), "keyword", (1 + n % 3).alias("weight")).distinct()
+    return taxonomy.joined_scores(d, ["doc_id"], "text", dictionary)
 
 
 # --- deduplication -----------------------------------------------------------------------------------------------
