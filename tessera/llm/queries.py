@@ -21,6 +21,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("removed", F.array_join(F.col("removed").cast("array<string>"), ","))
 
 
+def line_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All links between the line sets of op1, and their classes, whether or not a line was removed for another reason."""
+    return linededup.line_links(_table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -82,7 +87,7 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_hilbert, op4_minhash, op5_bpe, op6_token_files, op7_toxicity, op8_pii, op9_quality, op10_substring_dedup, op11_importance, op12_rowmatch, op13_packing)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_hilbert, op4_minhash, op5_bpe, op6_token_files, op7_toxicity, op8_pii, op9_quality, op10_substring_dedup, op11_importance, op12_rowmatch, op13_packing, line_links)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = "list_filter(regexp_split_to_array(" + _LOWER + ", '{}'), lambda x: x <> '')"
@@ -96,18 +101,27 @@ def _alnum(x: str) -> str:
     return _SPLIT.format(x, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-_LINES = f"""WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+_LINE_PAIRS = f"""WITH RECURSIVE l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
 lines AS (SELECT * FROM (SELECT doc_id, line, list_sort(list_distinct({_solid("s")})) AS ws FROM l) WHERE len(ws) > 0),
 sets AS (SELECT ws, len(ws) AS n, min({{'d': doc_id, 'l': line}}) AS place, row_number() OVER () AS sid FROM lines GROUP BY ws),
 words AS (SELECT sid, n, unnest(ws) AS w FROM sets),
 freq AS (SELECT w, count(*) AS f FROM words GROUP BY w),
 prefix AS (SELECT sid, n, w FROM (SELECT sid, n, w, row_number() OVER (PARTITION BY sid ORDER BY f, w) AS p FROM words JOIN freq USING (w)) WHERE p <= n - (80 * n + 99) // 100 + 1),
-pairs AS (SELECT DISTINCT a.sid AS x, b.sid AS y FROM prefix a JOIN prefix b USING (w) WHERE a.sid <> b.sid AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+pairs AS (SELECT DISTINCT a.sid AS x, b.sid AS y FROM prefix a JOIN prefix b USING (w) WHERE a.sid <> b.sid AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),"""
+
+_LINES = _LINE_PAIRS + f"""
 links AS (SELECT DISTINCT x AS sid FROM pairs JOIN sets a ON x = a.sid JOIN sets b ON y = b.sid WHERE b.place < a.place AND 180 * len(list_intersect(a.ws, b.ws)) >= 80 * (a.n + b.n)),
 gone AS (SELECT doc_id, line, place.d AS first_doc, links.sid IS NOT NULL AS near FROM lines JOIN sets USING (ws) LEFT JOIN links USING (sid) WHERE links.sid IS NOT NULL OR place <> {{'d': doc_id, 'l': line}}),
 kept AS (SELECT l.doc_id, string_agg(s, chr(10) ORDER BY l.line) FILTER (WHERE g.doc_id IS NULL) AS text, count(*) AS n_lines, count(g.doc_id) AS n_removed, string_agg(l.line, ',' ORDER BY l.line) FILTER (WHERE g.doc_id IS NOT NULL) AS removed, count(*) FILTER (WHERE near) AS n_links, min(first_doc) AS class_id FROM l LEFT JOIN gone g USING (doc_id, line) GROUP BY l.doc_id)
 SELECT doc_id, coalesce(text, '') AS text, n_lines, n_removed, coalesce(removed, '') AS removed, n_links, coalesce(class_id, doc_id) AS class_id FROM kept"""
 
+_LINE_LINKS = _LINE_PAIRS + """
+links AS (SELECT x, y FROM pairs JOIN sets a ON x = a.sid JOIN sets b ON y = b.sid WHERE 180 * len(list_intersect(a.ws, b.ws)) >= 80 * (a.n + b.n)),
+n AS (SELECT x AS sid, count(*) AS n_links FROM links GROUP BY x),
+reach AS (SELECT sid, sid AS r FROM sets UNION SELECT reach.sid, links.y FROM reach JOIN links ON reach.r = links.x),
+class AS (SELECT reach.sid, min(place) AS first FROM reach JOIN sets ON reach.r = sets.sid GROUP BY reach.sid)
+SELECT doc_id, CAST(line AS INT) AS line, coalesce(n_links, 0) AS n_links, first.d AS class_doc, CAST(first.l AS INT) AS class_line FROM lines JOIN sets USING (ws) JOIN class USING (sid) LEFT JOIN n USING (sid)"""
+
 _LEAKS = f"""WITH d AS (SELECT doc_id, {_alnum("coalesce(text, '')")} AS w FROM documents),
 i AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_alnum("coalesce(text, '')")} AS w FROM benchmark) WHERE len(w) > 0),
 windows AS (SELECT DISTINCT item_id, n, array_to_string(w[j : j + n - 1], ' ') AS k FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS j FROM i)),
@@ -151,4 +165,4 @@ o AS (SELECT doc_id, n_features, weight, score, row_number() OVER (ORDER BY scor
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) * 25 // 100 FROM o) THEN rank END AS rank FROM o UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM z WHERE n_words < 20"""
 
 #: Encoding, curves, models and rolling hashes can't be put in SQL; those queries are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": _LINES, "op2_decontaminate": _LEAKS, "op4_minhash": _NEAR, "op11_importance": _GUMBEL, "op12_rowmatch": _MATCHES}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": _LINES, "line_links": _LINE_LINKS, "op2_decontaminate": _LEAKS, "op4_minhash": _NEAR, "op11_importance": _GUMBEL, "op12_rowmatch": _MATCHES}
