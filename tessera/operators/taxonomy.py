@@ -113,7 +113,7 @@ def joined_scores(rows: DataFrame, id_cols: list[str], text_col: str, dictionary
         for content in K.blocks([words[i] for i in order], [own[i] for i in order], cells):
             yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-    blocks = cut(own.repartitionByRange(n, "keyword").mapInArrow(built, "content binary"))
+    blocks = cut(own.repartitionByRange(n, "keyword").coalesce(n).mapInArrow(built, "content binary"))  # n tasks even where a session deals into more
     texts = rows.select(*id_cols, F.col(text_col).cast("string").alias("_text"))
     kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in id_cols)
     fields = f"{kinds}, category string, score long"
