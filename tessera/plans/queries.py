@@ -237,16 +237,22 @@ _HOST = "lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1))"
 _PIRACY = "(" + " OR ".join(f"{{0}} = '{h}' OR ends_with({{0}}, '.{h}')" for h in L.PIRACY_HOSTS) + ")"
 
 
-@query(
-    """WITH a AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*["''][^"'']*["''][^>]*>.*?</a>') AS links FROM pages),
+_LINKS = """WITH a AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*["''][^"'']*["''][^>]*>.*?</a>') AS links FROM pages),
 l AS (SELECT page_id, url, unnest(links) AS a, generate_subscripts(links, 1) - 1 AS pos FROM a),
 x AS (SELECT page_id, url, pos, regexp_extract(a, '(?is)href\\s*=\\s*["'']([^"'']*)["'']', 1) AS href, trim(regexp_replace(regexp_replace(a, '(?is)^<a[^>]*>|</a>$', '', 'g'), '(?s)\\s*<[^>]+>\\s*', '', 'g')) AS label FROM l)
-SELECT page_id, CAST(pos AS INT) AS pos, CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href ELSE regexp_extract(url, '^[a-z]+://[^/]+') || href END AS href, label FROM x WHERE regexp_matches(href, '(?i)/[a-m]') AND regexp_matches(label, '(?i)e')"""
-)
+SELECT page_id, CAST(pos AS INT) AS pos, CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href ELSE regexp_extract(url, '^[a-z]+://[^/]+') || href END AS href, label FROM x"""
+
+
+@query(_LINKS + " WHERE regexp_matches(href, '(?i)/[a-m]') AND regexp_matches(label, '(?i)e')")
 def doc_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.document_links(read(spark, sf_dir, "pages"), "page_id", "url", "html", "(?iu)/[a-m]", "(?iu)e")
 
 
+@query(_LINKS + " WHERE regexp_matches(href, '(?i)/[a-c]') OR regexp_matches(label, '(?i)x')")
+def doc_links_either(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discovery.document_links(read(spark, sf_dir, "pages"), "page_id", "url", "html", "(?iu)/[a-c]", "(?iu)x", strict=False)
+
+
 @query(f"""WITH u AS (SELECT page_id, replace(url, 'example.net', CASE page_id % 4 WHEN 0 THEN 'scribd.com' WHEN 1 THEN 'bao.vn' WHEN 2 THEN '123doc.vn' ELSE 'example.net' END) AS url FROM pages)
 SELECT page_id, {_HOST} AS host, {_PIRACY.format(_HOST)} AS piracy, NOT {_PIRACY.format(_HOST)} AND ({_HOST} = 'example.net' OR ends_with({_HOST}, '.example.net') OR ends_with({_HOST}, '.vn')) AS trusted FROM u""")
 def trusted_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +289,11 @@ def pick_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.pick_report(_hits(spark, sf_dir), "q").select(F.col("q").alias("query_id"), "url")
 
 
+@query(f"SELECT q AS query_id, {_PICK[:-1]} AND pos < 2) AS url FROM ({_HITS}) GROUP BY q")
+def pick_report_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discovery.pick_report(_hits(spark, sf_dir), "q", 2).select(F.col("q").alias("query_id"), "url")
+
+
 @query(f"""WITH picked AS (SELECT q, {_PICK} AS url FROM ({_HITS}) GROUP BY q),
 cache AS (SELECT q, 'cached:' || q AS url, TIMESTAMP '2024-01-01' + to_days(CAST(q % 60 AS INT)) AS found FROM picked WHERE q % 2 = 0)
 SELECT 'T' || q AS ticker, CAST(2024 AS INT) AS year, coalesce(c.url, p.url) AS url, c.url IS NOT NULL AS cached FROM picked p LEFT JOIN (SELECT * FROM cache WHERE found > TIMESTAMP '2024-02-15' - INTERVAL 30 DAY) c USING (q)""")
