@@ -48,11 +48,8 @@ def jumped(rows: DataFrame, seconds: int) -> DataFrame:
     to = ordered.asof(nodes.select("key", "place", (F.col("at") + seconds * 1_000_000).alias("at")), nodes.withColumnRenamed("place", "next"), ["key"], "at", ["next"], forward=True)
     jump = cut(to.filter("next is not null").select("place", "next"))
     starts = cut(nodes.groupBy("key").agg(F.min("place").alias("place")).select("place"))
-    while True:
-        more = cut(jump.join(starts, "place", "left_semi").select(F.col("next").alias("place")).distinct().join(starts, "place", "left_anti"))
-        if more.isEmpty():
-            break
-        starts = cut(starts.unionByName(more))
+    while not jump.isEmpty():
+        starts = cut(starts.unionByName(jump.join(starts, "place", "left_semi").select(F.col("next").alias("place"))).distinct())
         on = jump.select(F.col("place").alias("next"), F.col("next").alias("after"))
         jump = cut(jump.join(on, "next").select("place", F.col("after").alias("next")))
     flagged = placed.join(starts.select(F.col("place").alias("start")), F.col("place") == F.col("start"), "left")
