@@ -12,11 +12,11 @@ OPERATING_PROFIT, TOTAL_ASSETS = "Operating profit/(loss)", "Total Assets"
 
 
 def line_item(statement: DataFrame, item: str, value: str, key: str = "symbol", order: str | None = None) -> DataFrame:
-    """(key, year, value) from a wide statement (key, item_en, one column a year): the first row of the item by order (or the least by its cells, for rows have no order of their own), unpivoted; cells that aren't numbers are left out."""
+    """(key, year, value) from a wide statement (key, item_en, one column a year): the first row of the item by order (or as the rows come, which holds for sources that keep an order alone), unpivoted; cells that aren't numbers are left out."""
     years = [c for c in statement.columns if c.isdigit()]
     if not years:
         return statement.select(key, F.lit(0).alias("year"), F.lit(0.0).alias(value)).filter("false")
-    place = F.col(order) if order else F.struct(*(F.col(f"`{y}`").cast("string") for y in years))
+    place = F.col(order) if order else F.monotonically_increasing_id()
     rows = statement.withColumn("_place", place).filter(F.trim(F.lower("item_en")) == item.lower())
     rows = rows.groupBy(key).agg(F.min_by(F.struct(*(F.col(f"`{y}`").cast("string").alias(y) for y in years)), "_place").alias("_row"))
     rows = rows.select(key, *(F.col(f"_row.`{y}`").alias(y) for y in years))
@@ -59,9 +59,9 @@ def monthly_bars(ticks: DataFrame, key: str, time: str, price: str, volume: str
 
 
 def shares(overview: DataFrame, key: str = "symbol", order: str | None = None) -> DataFrame:
-    """(key, shares): the issue_share of an issuer's first overview row by order (or its least, for rows have no order of their own) as a number, or null."""
+    """(key, shares): the issue_share of an issuer's first overview row by order (or as the rows come) as a number, or null."""
     own = F.struct(F.col("issue_share").cast("string").try_cast("double").alias("shares"))
-    rows = overview.select(key, own.alias("_own"), (F.col(order) if order else F.struct(F.col("issue_share").cast("string"))).alias("_place"))
+    rows = overview.select(key, own.alias("_own"), (F.col(order) if order else F.monotonically_increasing_id()).alias("_place"))
     return rows.groupBy(key).agg(F.min_by("_own", "_place").alias("_own")).select(key, "_own.shares")
 
 
