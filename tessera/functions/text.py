@@ -124,10 +124,13 @@ def sentences(x: Column) -> Column:
 
 def hard_split(x: Column, limit: int = MAX_TOKENS) -> Column:
     """(text, tokens) of each `limit` words."""
-    words = tokens(x)
-    n = F.ceil(F.size(words) / limit).cast("int")
-    parts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(parts, lambda i: F.struct(F.array_join(F.slice(words, i * limit + 1, F.lit(limit)), " ").alias("text"), F.least(F.lit(limit), F.size(words) - i * limit).alias("tokens")))
+
+    def split(words):  # a lambda's variable: an expression in its place would split the whole text again for each piece
+        n = F.ceil(F.size(words) / limit).cast("int")
+        parts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(parts, lambda i: F.struct(F.array_join(F.slice(words, i * limit + 1, F.lit(limit)), " ").alias("text"), F.least(F.lit(limit), F.size(words) - i * limit).alias("tokens")))
+
+    return F.transform(F.array(tokens(x)), split)[0]
 
 
 def content_hash(x: Column) -> Column:

@@ -58,6 +58,13 @@ def test_hard_split(one):
     assert one(lambda x: T.hard_split(F.col(x), 2), x=" ") == []
 
 
+def test_hard_split_reads_a_text_once(spark):
+    rows = spark.createDataFrame([("a b c",), (None,)], "x string")
+    out = rows.select(T.hard_split(F.col("x"), 2).alias("p"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert [[tuple(p) for p in r.p] for r in out.collect()] == [[("a b", 2), ("c", 1)], []]
+
+
 def test_content_hash_ignores_composition_case_and_space(one):
     a, b = unicodedata.normalize("NFC", "Phát thải khí nhà kính"), unicodedata.normalize("NFD", " phát THẢI khí nhà\nkính ")
     assert a != b and one(lambda x: T.content_hash(F.col(x)), x=a) == one(lambda x: T.content_hash(F.col(x)), x=b)
