@@ -7,6 +7,7 @@ is what it would be had all before been read. States that end a keyword have the
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import pickle
@@ -223,6 +224,16 @@ def slices(col: pa.Array):
         lo = hi
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+
+
+def give_back() -> None:
+    """A worker's unused memory goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def sums(a: Automaton, weights: np.ndarray, col: pa.Array) -> np.ndarray:
     """Each text's sums over keywords of occurrences times weights (a row a keyword, a column a sum)."""
     out = np.zeros((len(col), weights.shape[1]), np.int64)

@@ -11,11 +11,12 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.functions.keywords import give_back, slices
 from tessera.operators import ordered
 
 CHUNK = "array<struct<heading:string,text:string,token_count:int>>"
@@ -115,12 +116,33 @@ def clean(text: str) -> list[str]:
     return [p for p in map(str.strip, text.split("\n")) if p]
 
 
+def _listed(texts: pa.Array, kind: pa.StructType, pieces: Callable[[int, str], Iterable[tuple]]) -> pa.Array:
+    """An array of each text's list of pieces (its number and itself to tuples of kind's fields); only the pieces of some MB of texts are Python's at a time."""
+    give_back()  # what the batch before took
+    done = []
+    for lo, hi, *_ in slices(texts):
+        ends, columns = [0], [[] for _ in kind]
+        for i, x in enumerate(texts.slice(lo, hi - lo).to_pylist(), lo):
+            for piece in pieces(i, x or ""):
+                for column, v in zip(columns, piece, strict=True):
+                    column.append(v)
+            ends.append(len(columns[0]))
+        structs = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
+        done.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs))
+    return pa.concat_arrays(done) if done else pa.array([], pa.list_(kind))
+
+
+_PIECE = pa.struct([("text", pa.string()), ("token_count", pa.int32())])
+_CHUNK = pa.struct([("heading", pa.string()), *_PIECE])
+
+
 def chunk_column(text: Column, heading: Column, limit: int = T.MAX_TOKENS, count: Callable[[str], int] = words_of) -> Column:
     """The chunks of a raw text, cleaned and packed in one Arrow pass; of a null, none. `count` may be a subword tokenizer's."""
 
-    @F.pandas_udf(CHUNK)
-    def run(texts: pd.Series, headings: pd.Series) -> pd.Series:
-        return pd.Series([[{"heading": h, "text": t, "token_count": n} for h, t, n in chunks(clean(x or ""), y if y is not None else T.DEFAULT_HEADING, limit, count)] for x, y in zip(texts, headings, strict=True)])
+    @F.arrow_udf(CHUNK)
+    def run(texts: pa.Array, headings: pa.Array) -> pa.Array:
+        named = lambda i: T.DEFAULT_HEADING if headings[i].as_py() is None else headings[i].as_py()
+        return _listed(texts, _CHUNK, lambda i, x: chunks(clean(x), named(i), limit, count))
 
     return run(text, heading)
 
@@ -128,9 +150,9 @@ def chunk_column(text: Column, heading: Column, limit: int = T.MAX_TOKENS, count
 def split_column(text: Column, limit: int = T.MAX_TOKENS, count: Callable[[str], int] = words_of) -> Column:
     """The pieces of a text of one paragraph; of a null, none. `count` may be a subword tokenizer's."""
 
-    @F.pandas_udf("array<struct<text:string,token_count:int>>")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"text": t, "token_count": n} for t, n in split_to_limit(x or "", limit, count)] for x in texts])
+    @F.arrow_udf("array<struct<text:string,token_count:int>>")
+    def run(texts: pa.Array) -> pa.Array:
+        return _listed(texts, _PIECE, lambda _, x: split_to_limit(x, limit, count))
 
     return run(text)
 

@@ -65,6 +65,22 @@ def test_hard_split_reads_a_text_once(spark):
     assert [[tuple(p) for p in r.p] for r in out.collect()] == [[("a b", 2), ("c", 1)], []]
 
 
+def test_pieces_of_a_batch_are_made_a_slice_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([None, "", *(f"{'Mot hai ba bon nam. ' * 500}{i}" for i in range(3000))])  # 30 MB
+    tracemalloc.start()
+    got = chunking._listed(texts, chunking._PIECE, lambda _, x: chunking.split_to_limit(x, 200, chunking.words_of))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 << 20  # the pieces of all texts take 30 MB
+    assert got[0].as_py() == got[1].as_py() == []
+    for i in (2, 1500, 3001):
+        assert [(p["text"], p["token_count"]) for p in got[i].as_py()] == chunking.split_to_limit(texts[i].as_py())
+
+
 def test_content_hash_ignores_composition_case_and_space(one):
     a, b = unicodedata.normalize("NFC", "Phát thải khí nhà kính"), unicodedata.normalize("NFD", " phát THẢI khí nhà\nkính ")
     assert a != b and one(lambda x: T.content_hash(F.col(x)), x=a) == one(lambda x: T.content_hash(F.col(x)), x=b)
