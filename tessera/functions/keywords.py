@@ -258,6 +258,46 @@ def sums_column(text: Column, words: list[tuple[int, str, int]], groups: int) ->
     return run(text)
 
 
+#: Bytes of a gram, and bits of the hashed table of those that texts have (8 MB).
+GRAM, GRAMS = 6, 26
+#: A shorter keyword is known by its first bytes.
+_SHORT = 3
+
+
+def _grams(buf: np.ndarray, size: int) -> np.ndarray:
+    """A cell's number for each run of `size` bytes."""
+    n = max(0, len(buf) - size + 1)
+    x = np.zeros(n, np.uint64)
+    for k in range(size):
+        x |= buf[k : k + n].astype(np.uint64) << np.uint64(8 * k)
+    x = (x + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return (x >> np.uint64(64 - GRAMS)).astype(np.int64)
+
+
+def seen(col: pa.Array, table: np.ndarray) -> None:
+    """Marks in table (a byte a cell) the runs of GRAM and of _SHORT bytes of folded texts; those across two texts too, which does no harm."""
+    for _, _, buf, offs in slices(col):
+        buf, _ = normal_bytes(buf, offs)
+        for a in range(0, len(buf), 1 << 18):  # so that what is computed stays in the cache
+            table[_grams(buf[a : a + (1 << 18) + GRAM - 1], GRAM)] = 1
+            table[_grams(buf[a : a + (1 << 18) + _SHORT - 1], _SHORT)] = 1
+
+
+def possible(words: pa.Array, table: np.ndarray) -> np.ndarray:
+    """Whether each keyword's runs are all among those seen (bits, packed); True if it is shorter than any run."""
+    out = np.ones(len(words), bool)
+    for lo, _, buf, offs in slices(words):
+        n = np.diff(offs)
+        for size, own in ((GRAM, n >= GRAM), (_SHORT, (n >= _SHORT) & (n < GRAM))):
+            cell = _grams(buf, size)
+            missing = np.concatenate(([0], np.cumsum((table[cell >> 3] >> (cell & 7).astype(np.uint8) & 1) == 0)))
+            at = np.flatnonzero(own)
+            out[lo + at] = missing[offs[at + 1] - size + 1] == missing[offs[at]]
+    return out
+
+
 class Block(NamedTuple):
     """A part of a dictionary: its automaton, and the (category, weight) entries of each keyword, from first on."""
 

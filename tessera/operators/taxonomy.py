@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,18 +93,57 @@ def tagged(rows: DataFrame, text_col: str, words: list[Keyword], threshold: int
     return rows.withColumn(out, F.explode(F.transform(F.array(scored(F.col(text_col), words)), named))).filter(F.size(out) > 0)
 
 
+def _possible(own: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of own (keyword, ...) whose keyword may occur in a text."""
+    pieces, each = 16, (1 << K.GRAMS) // 8 // 16
+
+    def marked(batches):
+        table = np.zeros(1 << K.GRAMS, np.uint8)
+        for batch in batches:
+            K.seen(batch.column(0), table)
+        bits = np.packbits(table, bitorder="little").reshape(pieces, each)
+        yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int32()), pa.array([zstandard.compress(b.tobytes(), 1) for b in bits], pa.binary())], ["piece", "bits"])
+
+    def merged(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                bits = np.frombuffer(zstandard.decompress(b), np.uint8)
+                found[i] = found[i] | bits if i in found else bits
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([b.tobytes() for b in found.values()], pa.binary())], ["piece", "bits"])
+
+    kinds = "piece int, bits binary"
+    table = np.zeros((pieces, each), np.uint8)
+    for row in texts.mapInArrow(marked, kinds).repartition(pieces, "piece").mapInArrow(merged, kinds).toLocalIterator():
+        table[row.piece] = np.frombuffer(row.bits, np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(table.reshape(-1))
+
+    def kept(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(K.possible(batch.column(0), shared.value)))
+
+    return own.mapInArrow(kept, own.schema)
+
+
 def joined_scores(rows: DataFrame, id_cols: list[str], text_col: str, dictionary: DataFrame, cells: int = K.CELLS) -> DataFrame:
     """The same scores for a dictionary of any size held as a table (category, keyword, weight): (ids, category, score), without scores of 0.
 
     Automata are built by tasks, for ranges of keywords, in blocks of a checked size (`cells`, 64 MB at most in a
     worker); a block at a time is broadcast, and the texts are read once for each. Keywords are folded as texts are;
-    entries that repeat count as often; empty keywords and nulls are left out.
+    entries that repeat count as often; empty keywords and nulls are left out. Only keywords whose runs of bytes all
+    occur in some text (a hashed table of fixed size, which may let others through) get into a block, so the number
+    of blocks grows with what texts can hold, not with the dictionary; if it all fits in one block, that isn't looked at.
     """
     spark = rows.sparkSession
     entries = dictionary.select(F.col("category").cast("string").alias("category"), T.normal(F.col("keyword")).alias("keyword"), F.col("weight").cast("long").alias("weight")).filter("keyword <> '' and category is not null and weight is not null")
     own = entries.groupBy("keyword", "category").agg(F.sum("weight").alias("weight")).groupBy("keyword").agg(F.collect_list(F.struct("category", "weight")).alias("own"))
-    size = entries.agg(F.sum(F.octet_length("keyword"))).first()[0] or 0
-    n = max(1, -(-size * _LETTERS // cells))
+    weighed = lambda: (own.agg(F.sum(F.octet_length("keyword"))).first()[0] or 0) * _LETTERS
+    room = weighed()
+    if room > cells:
+        own = cut(_possible(own, rows.select(F.col(text_col).cast("string"))))
+        room = weighed()
+    n = max(1, -(-room // cells))
 
     def built(batches):
         words, own = [], []

@@ -65,3 +65,13 @@ def test_columns_and_dictionaries(spark):
     assert taxonomy.joined_scores(frame, ["id"], "t", table.filter("false")).count() == 0
     with pytest.raises(ValueError):
         K.build([b"a", b"a"])
+
+
+def test_keywords_that_no_text_holds_take_no_blocks(spark):
+    texts = spark.createDataFrame([(1, "Khí nhà kính, customer of 7"), (2, None), (3, "ab")], "id int, t string")
+    there = ["khi nha", "customer", "kinh,", "ab", "7", "r of 7"]
+    dictionary = spark.createDataFrame([("c", k, 1) for k in there] + [("c", f"customer#{i:09}", 1) for i in range(20_000)], "category string, keyword string, weight int")
+    own = dictionary.groupBy("keyword").agg(F.collect_list(F.struct("category", "weight")).alias("own"))
+    left = {r.keyword for r in taxonomy._possible(own, texts.select("t")).collect()}
+    assert set(there) <= left and len(left) < len(there) + 5
+    assert {(r.id, r.score) for r in taxonomy.joined_scores(texts, ["id"], "t", dictionary, 5000).collect()} == {(1, 5), (3, 1)}
