@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -152,7 +154,7 @@ def error_rate(read: Column, truth: Column) -> Column:
 
 
 def distance(a: str, b: str) -> int:
-    """Levenshtein's distance, a column of the table at a time: two integers hold, with a bit for each character of the longer text, where its values rise and fall by one from row to row (Myers; Hyyrö)."""
+    """Levenshtein's distance. As many edits as letters of one text that the other lacks (counted with repeats) are needed at least; a band that holds every path of so many edits is looked at, then ones of twice as many, until the distance found is within them."""
     lead = len(os.path.commonprefix([a, b]))
     tail = len(os.path.commonprefix([a[lead:][::-1], b[lead:][::-1]]))
     a, b = a[lead : len(a) - tail], b[lead : len(b) - tail]
@@ -160,17 +162,70 @@ def distance(a: str, b: str) -> int:
         a, b = b, a
     if not b:
         return len(a)
-    masks: dict[str, int] = {}
+    own, other = Counter(a), Counter(b)
+    most = max(1, (own - other).total(), (other - own).total())
+    masks = _masks(a, own.keys() & other.keys())
+    while 2 * most < len(a):
+        found = _banded(masks, len(a), b, most)
+        if found <= most:
+            return found
+        most *= 2
+    return _whole(masks, len(a), b)
+
+
+def _masks(a: str, letters: set[str]) -> dict[str, int]:
+    """Of each letter, an integer with a bit for each place where it stands."""
+    if len(letters) <= 256:
+        codes = np.frombuffer(a.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return {c: int.from_bytes(np.packbits(codes == ord(c), bitorder="little").tobytes(), "little") for c in letters}
     places: dict[str, list[int]] = {}
     for i, c in enumerate(a):
         places.setdefault(c, []).append(i)
-    for c in set(b) & set(places):
-        bits = bytearray(len(a) // 8 + 1)
+    masks = {}
+    for c in letters:
+        bits = bytearray(places[c][-1] // 8 + 1)
         for i in places[c]:
             bits[i >> 3] |= 1 << (i & 7)
         masks[c] = int.from_bytes(bits, "little")
-    full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, total = full, 0, len(a)
+    return masks
+
+
+def _banded(masks: dict[str, int], n: int, b: str, most: int) -> int:
+    """The distance of a text of n letters (its masks) from b, which isn't longer, if it is at most `most` (not less than the difference of their lengths); else a number above that. As _whole(), but the integers hold only the `most` + 1 diagonals that so few edits can reach, and move a row down with each column (Hyyrö)."""
+    below, above = (most + n - len(b)) // 2, (most - n + len(b)) // 2
+    width = below + above + 1
+    full, bottom = (1 << width) - 1, width - 1
+    up, down, total = full ^ ((1 << above) - 1), 0, below
+    step, near, held = max(width, 256), {}, (1 << (width + max(width, 256))) - 1
+    straight = n - below  # columns until the lowest diagonal meets the last row
+    for j, c in enumerate(b):
+        at = j % step
+        if not at:  # masks of the next columns only, so that no whole one is shifted for each
+            near, start = {}, j - above
+        same = near.get(c)
+        if same is None:
+            whole = masks.get(c, 0)
+            same = near[c] = (whole >> start if start >= 0 else whole << -start) & held
+        same = same >> at & full
+        still = (((same & up) + up) ^ up) & full | same | down
+        rise = down | (full ^ (still | up))
+        fall = still & up
+        if j < straight:
+            if not still >> bottom:
+                total += 1
+        else:
+            row = bottom - 1 - (j - straight)
+            total += (rise >> row & 1) - (fall >> row & 1)
+        moved = still >> 1
+        up = fall | (full ^ (moved | rise))
+        down = moved & rise
+    return total
+
+
+def _whole(masks: dict[str, int], n: int, b: str) -> int:
+    """The distance of a text of n letters from b, a column of the table at a time: two integers hold, with a bit for each letter of the first, where its values rise and fall by one from row to row (Myers; Hyyrö)."""
+    full, last = (1 << n) - 1, 1 << (n - 1)
+    up, down, total = full, 0, n
     for c in b:
         same = masks.get(c, 0)
         still = (((same & up) + up) ^ up) | same | down
