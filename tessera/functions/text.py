@@ -154,22 +154,107 @@ def error_rate(read: Column, truth: Column) -> Column:
 
 
 def distance(a: str, b: str) -> int:
-    """Levenshtein's distance. As many edits as letters of one text that the other lacks (counted with repeats) are needed at least; a band that holds every path of so many edits is looked at, then ones of twice as many, until the distance found is within them."""
-    lead = len(os.path.commonprefix([a, b]))
-    tail = len(os.path.commonprefix([a[lead:][::-1], b[lead:][::-1]]))
-    a, b = a[lead : len(a) - tail], b[lead : len(b) - tail]
-    if len(a) < len(b):
-        a, b = b, a
-    if not b:
-        return len(a)
+    """Levenshtein's distance; see distances()."""
+    return distances([(a, b)])[0]
+
+
+def distances(pairs: list[tuple[str, str]]) -> list[int]:
+    """Levenshtein's distance of each pair, exactly.
+
+    As many edits as letters of one text that the other lacks (counted with repeats) are needed at least, and as many
+    as the pieces between passages that both have, each against its own, need are enough. Where the two differ, a band
+    that holds every path of so many edits is looked at, then ones of twice as many, until what is found lies within.
+    """
+    out, held, pieces, size = [0] * len(pairs), [], [], 0
+    for k, (a, b) in enumerate(pairs):
+        lead = len(os.path.commonprefix([a, b]))
+        tail = len(os.path.commonprefix([a[lead:][::-1], b[lead:][::-1]]))
+        a, b = a[lead : len(a) - tail], b[lead : len(b) - tail]
+        if len(a) < len(b):
+            a, b = b, a
+        if b:
+            own = _pieces(a, b)
+            held.append((k, a, b, len(own)))
+            pieces += own
+            size += len(a) + len(b)
+        else:
+            out[k] = len(a)
+        if size > 1 << 20 or k == len(pairs) - 1:
+            first, found = 0, _small(pieces)
+            for i, x, y, n in held:
+                out[i] = _settled(x, y, int(found[first : first + n].sum()) if n else len(x))
+                first += n
+            held, pieces, size = [], [], 0
+    return out
+
+
+#: Letters of a passage that two texts share (a shorter one where there is no longer one), and of the longest piece between two of them (the bits of a word).
+_SHARED, _ROWS = (6, 4, 3, 2), 64
+
+
+def _pieces(a: str, b: str) -> list[tuple[str, str]]:
+    """Both texts cut where a passage of one stands once in the next letters of the other; none if there is no such passage somewhere."""
+    out, i, j = [], 0, 0
+    while len(a) - i > _ROWS:
+        for size in _SHARED:
+            for at in range(min(j + _ROWS - 8, len(b) - size), j + 7, -1):
+                passage = b[at : at + size]
+                p = a.find(passage, i + 1, i + _ROWS + size)
+                if p > 0 and a.find(passage, p + 1, i + _ROWS + size) < 0:
+                    break
+            else:
+                continue
+            break
+        else:
+            return []
+        out.append((a[i:p], b[j:at]))
+        i, j = p, at
+    return [*out, (a[i:], b[j:])] if len(b) - j <= 2 * _ROWS else []
+
+
+def _small(pieces: list[tuple[str, str]]) -> np.ndarray:
+    """The distance of each piece of at most _ROWS letters from its other, all side by side; as _whole()."""
+    if not pieces:
+        return np.zeros(0, np.int64)
+    rows, columns = (np.array([len(p[k]) for p in pieces]) for k in (0, 1))
+    order = np.argsort(-columns, kind="stable")
+    texts = []
+    for k, n, width, pad in ((0, rows, _ROWS, 0xFFFFFFFF), (1, columns, max(1, int(columns.max())), 0xFFFFFFFE)):
+        codes = np.full((len(pieces), width), pad, np.uint32)
+        codes[np.arange(width) < n[:, None]] = np.frombuffer("".join(p[k] for p in pieces).encode("utf-32-le", "surrogatepass"), np.uint32)
+        texts.append(codes[order])
+    own, other = texts
+    one, total = np.uint64(1), rows[order].astype(np.int64)
+    last = one << (rows[order] - 1).astype(np.uint64)
+    up, down = np.full(len(pieces), ~np.uint64(0)), np.zeros(len(pieces), np.uint64)
+    many = np.searchsorted(-columns[order], -np.arange(other.shape[1]), "left")  # that have the column
+    for c, n in enumerate(many.tolist()):
+        same = np.packbits(own[:n] == other[:n, c, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+        u, d = up[:n], down[:n]
+        still = (((same & u) + u) ^ u) | same | d
+        rise, fall = d | ~(still | u), u & still
+        total[:n] += (rise & last[:n]) != 0
+        total[:n] -= (fall & last[:n]) != 0
+        rise = rise << one | one
+        up[:n] = fall << one | ~(still | rise)
+        down[:n] = rise & still
+    out = np.empty(len(pieces), np.int64)
+    out[order] = total
+    return out
+
+
+def _settled(a: str, b: str, enough: int) -> int:
+    """The distance of a from b, which isn't longer; it is at most `enough`."""
     own, other = Counter(a), Counter(b)
     most = max(1, (own - other).total(), (other - own).total())
+    if most == enough:
+        return enough
     masks = _masks(a, own.keys() & other.keys())
     while 2 * most < len(a):
         found = _banded(masks, len(a), b, most)
         if found <= most:
             return found
-        most *= 2
+        most = min(2 * most, enough)
     return _whole(masks, len(a), b)
 
 
@@ -242,17 +327,13 @@ def _whole(masks: dict[str, int], n: int, b: str) -> int:
 
 
 def edits(read: Column, truth: Column) -> Column:
-    """(edits, given, chars): the edits between two texts, both composed, and their lengths; null if either is. A text may be of any length: the work is its product with the other's, 30 characters a step."""
+    """(edits, given, chars): the edits between two texts, both composed, and their lengths; null if either is. A text may be of any length: at worst the work is its product with the other's, 30 characters a step."""
 
     @F.pandas_udf("edits bigint, given bigint, chars bigint")
     def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            if x is None or y is None:
-                out.append((None, None, None))
-            else:
-                x, y = (t if t.isascii() else unicodedata.normalize("NFC", t) for t in (x, y))
-                out.append((distance(x, y), len(x), len(y)))
+        nfc_ = [(None, None) if x is None or y is None else tuple(t if t.isascii() else unicodedata.normalize("NFC", t) for t in (x, y)) for x, y in zip(a, b, strict=True)]
+        found = iter(distances([p for p in nfc_ if p[0] is not None]))
+        out = [(None, None, None) if x is None else (next(found), len(x), len(y)) for x, y in nfc_]
         return pd.DataFrame(out, columns=["edits", "given", "chars"]).astype("Int64")
 
     return run(read, truth)

@@ -1,5 +1,6 @@
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,26 @@ def test_fold_and_counts(one):
 
 def test_sentences(one):
     assert one(lambda x: T.sentences(F.col(x)), x=" Co 1.500 tan. Hai!  Ba… bon ") == ["Co 1.500 tan.", "Hai!", "Ba…", "bon"]
+
+
+def test_edit_distance_by_bounds_bands_and_whole_tables():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng, pairs = np.random.default_rng(5), [("", ""), ("abc", ""), ("listen", "silent"), ("ab" * 200, "ba" * 200), ("a" * 300, "b" * 200), ("é" * 90, "e" * 80)]
+    for _ in range(60):
+        a = "".join(rng.choice(list("abcdefghij klmno"[: int(rng.integers(1, 17))]), int(rng.integers(0, 400))))
+        b = list(a)
+        for i in sorted(rng.integers(0, len(a) + 1, int(rng.integers(0, 1 + len(a) // 4))).tolist(), reverse=True):
+            b[i : i + int(rng.integers(0, 3))] = "".join(rng.choice(list("abé"), int(rng.integers(0, 2))))
+        pairs += [(a, "".join(b)), ("".join(b), a)]
+    assert T.distances(pairs) == [plain(a, b) for a, b in pairs]
+    # A garbled text is settled by its pieces alone, without a table of the whole.
+    truth = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 400_000))
+    read = truth.replace("th", "").translate({ord("o"): 1, ord("e"): 2})
+    assert T.distance(read, truth) == len(truth) - len(truth.replace("th", "").translate({ord("o"): None, ord("e"): None}))
