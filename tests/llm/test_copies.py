@@ -193,3 +193,13 @@ def test_substring_edges(spark):
     t = " ".join(f"u{i * 7919}" for i in range(60))
     rows = spark.createDataFrame([(None, t, None, None, None), (1, t, None, None, None), (1, t, None, None, None)], DOCS)
     assert [r.n_removed for r in chunkdedup.dedup_substrings(rows).collect()] == [0, 0, 0]
+
+
+def test_lines_are_read_in_small_slices(monkeypatch):
+    import pyarrow as pa
+
+    seen, whole = [], linededup.tx.spans
+    monkeypatch.setattr(linededup.tx, "spans", lambda buf, *rest: seen.append(len(buf)) or whole(buf, *rest))
+    batch = pa.RecordBatch.from_arrays([pa.array(["mot hai ba " * 20_000] * 16)], ["text"])  # 3.5 MB
+    list(linededup._counted(iter([batch])))
+    assert sum(seen) == 16 * 220_000 and max(seen) <= 1 << 20
