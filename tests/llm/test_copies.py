@@ -203,3 +203,71 @@ def test_lines_are_read_in_small_slices(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(["mot hai ba " * 20_000] * 16)], ["text"])  # 3.5 MB
     list(linededup._counted(iter([batch])))
     assert sum(seen) == 16 * 220_000 and max(seen) <= 1 << 20
+
+
+def test_postings_travel_packed_and_lose_no_pair():
+    import pyarrow as pa
+
+    class Shared:
+        value = np.full(1 << linededup.COUNTS, 20, np.uint8)
+
+    rng = np.random.default_rng(4)
+    vocab = [f"w{i}" for i in range(300)]
+    pool = [list(rng.choice(vocab, rng.integers(1, 40))) for _ in range(40)]
+    texts = []
+    for _ in range(120):
+        lines = [list(pool[k]) for k in rng.integers(0, len(pool), 5)]
+        for line in lines:
+            line[rng.integers(0, len(line))] = str(rng.choice(vocab))
+        texts.append("\n".join(map(" ".join, lines)))
+    ids = list(range(-60, 60))
+    rng.shuffle(ids)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array(texts)], ["doc_id", "text_key", "text"])
+    wide = list(linededup._keyed(Shared, 80, 100, 4)(iter([batch])))
+    packed = [b.slice(k).select(["own", "tokens"]) for b in wide for k in [b["part"].null_count] if k < len(b)]
+    (sets,) = linededup._distinct(iter(packed))
+    first, many = {}, Counter()
+    for i, n, s in _lines(zip(ids, texts, strict=True)):
+        first.setdefault(s, (i, n))
+        many[s] += 1
+    place = {(r["doc_id"], r["line"]): r for r in sets.to_pylist()}
+    assert {p: many[s] > 1 for s, p in first.items()} == {p: r["many"] for p, r in place.items()} and len(first) > 300
+    bits = np.bitwise_xor.reduce([sets[c].to_numpy() for c in linededup._MAPS])
+    assert (bits < 0).any()
+    done = rng.random(len(sets)) < 0.3
+    rows = pa.RecordBatch.from_arrays([sets["set_a"], sets["doc_id"], sets["size"], pa.array(bits), pa.array(done), sets["skip"], sets["prefix"]], ["set_a", "doc_id", "size", "bits", "done", "skip", "prefix"])
+    posts = list(linededup._posted(4)(iter([rows])))
+    assert sum(map(len, posts)) == 4  # a row for each part, not for each posting
+    got = {(r["x"], r["y"]) for p in range(4) for b in linededup._paired(80, 100)(iter([pa.RecordBatch.from_arrays([b["content"].slice(p, 1)], ["content"]) for b in posts])) for r in b.to_pylist()}
+    over = dict(zip(sets["set_a"].to_pylist(), done.tolist(), strict=True))
+    want = {(place[first[s]]["set_a"], place[first[o]]["set_a"]) for s in first for o in first if first[o] < first[s] and 100 * len(s & o) >= 80 * len(s | o)}
+    assert {(x, y) for x, y in want if not over[x]} <= got and len(want) > 100 and not any(over[x] for x, _ in got)
+
+
+def test_word_hashes_tell_words_apart():
+    words = [b"w" * n + tail for n in range(60) for tail in (b"a", b"b", b"\0", b"\0\0", "đ".encode())]
+    ends = np.cumsum([len(w) for w in words])
+    own, upper = (linededup._hashes(np.frombuffer(b"".join(x), np.uint8), np.append(0, ends[:-1]), ends) for x in (words, [w.upper() for w in words]))
+    assert len(set(own.tolist())) == len(words) == len(set(words)) and (own == upper).all()
+
+
+def test_only_wanted_lines_are_read_again():
+    import pyarrow as pa
+
+    class Shared:
+        value = np.full(1 << linededup.COUNTS, 20, np.uint8)
+
+    texts = ["", "a b\n\nc d e\n", "\n", "f\ng h\nf"] * 500
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)))] + [pa.array(texts)], ["doc_id", "text"])
+
+    table = np.zeros((linededup.PIECES, (1 << linededup.WANTED - 5) // linededup.PIECES), np.uint32)
+    wanted = pa.RecordBatch.from_arrays([pa.array([1, 3, 1999]), pa.array([2, 1, 2], pa.int32())], ["doc_id", "line"])
+    for b in linededup._wanted(iter([wanted])):
+        for r in b.to_pylist():
+            table[r["piece"]] = linededup._open(r["content"])
+
+    class Need:
+        value = table.reshape(-1).view(np.uint8)
+
+    got = [len(w) for b in linededup._words_of_wanted(Shared, Need)(iter([batch])) for w in b["words"].to_pylist()]
+    assert sorted(got) == [1, 2, 3]
